@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
     )
