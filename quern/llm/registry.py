@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import jaccard, quality
+import corpus_pipeline
+from quern.llm import bpe, jaccard, language, packing, passages, quality, store, token_table, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = bpe.with_tokens(_read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), count_col="n_tokens", kind="library")
+    token_table.write_tokens(docs.drop("text"), path := store.new_path(spark, "tokens"))
+    return token_table.read_tokens(spark, path)
+
+
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_pairs(_read(spark, sf_dir, "documents"))
 
@@ -32,6 +44,28 @@ UNION ALL SELECT rep, doc_id, len(g), len(g), 1.0::DOUBLE, true FROM r WHERE doc
 """
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(bpe.with_tokens(_read(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_tokens", kind="library", keep=False))
+
+
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.with_tokens(_read(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_tokens")
+    return bpe.with_text(encoded).select("doc_id", "n_tokens", "tokens", F.col("decoded").eqNullSafe(F.col("text")).alias("restored"))
+
+
+def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.page_records(_read(spark, sf_dir, "pages"))
+    warc.archive(records, path := store.new_path(spark, "warc"), id_col="page_id")
+    return warc.restore(spark, path, id_col="page_id").withColumn("record", F.decode("record", "UTF-8"))
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, html, sha256(html) AS digest, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) AS http FROM pages WHERE html IS NOT NULL)
+SELECT page_id, digest, true AS verified, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'WARC-Payload-Digest: sha256:' || digest || chr(13) || chr(10) || 'Content-Type: application/http; msgtype=response' || chr(13) || chr(10) || 'Content-Length: ' || (strlen(http) + strlen(html)) || chr(13) || chr(10) || chr(13) || chr(10) || http || html || chr(13) || chr(10) || chr(13) || chr(10) AS record
+FROM p
+"""
+
+
 def op9_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_coverage(_read(spark, sf_dir, "documents"))
 
@@ -56,9 +90,15 @@ FROM t {joins} LEFT JOIN l USING (doc_id)
 """
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_ngram_jaccard_join, op9_repetition_coverage)}
+    ops = (op1_token_parquet, op3_repeated_passages, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_encode_decode, op7_warc_archive, op9_repetition_coverage, op10_language_id)
+    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_jaccard_join": OP4_SQL, "op9_repetition_coverage": _op9_sql()}
+    return {"op4_ngram_jaccard_join": OP4_SQL, "op7_warc_archive": OP7_SQL, "op9_repetition_coverage": _op9_sql()}

@@ -11,8 +11,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 _made: list[str] = []
@@ -40,6 +44,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def fresh(spark: SparkSession, prefix: str) -> str:
+    """A path beside prefix for a result that outlives drop_tables."""
+    return f"{prefix}-{uuid.uuid4().hex}"
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: what follows doesn't recompute it."""
     path = new_path(df.sparkSession, name)
@@ -54,3 +63,37 @@ def drop_tables(spark: SparkSession) -> None:
     while _made:
         path = jvm.org.apache.hadoop.fs.Path(_made.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+#: Bits of the largest sieve; beyond what that serves, joins go without one.
+SIEVE_BITS = 1 << 29
+_PROBES = 3
+
+
+def sieve(ids: DataFrame) -> Callable[[Column], Column]:
+    """A Bloom filter of the only column (bigint) of ids: true for each of them, and for a few others.
+
+    It keeps rows that can't match from being shuffled into a join. It takes 12 to 24 bits for an id,
+    made by a distributed aggregate and broadcast: 64 MB at most. For more ids than that serves,
+    it is true of everything; the join that follows decides in any case.
+    """
+    (name,) = ids.columns
+    n = ids.count()
+    if 8 * n > SIEVE_BITS:
+        return lambda c: F.lit(True)
+    bits = min(SIEVE_BITS, max(1 << 10, 1 << (12 * n).bit_length()))
+    at = F.explode(F.array(*[F.pmod(F.xxhash64(name, F.lit(i)), F.lit(bits)) for i in range(_PROBES)]))
+    words = ids.select(at.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit, 32) AS int))")).alias("mask")).toPandas()
+    table = np.zeros(bits // 32, np.uint32)
+    table[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).astype(np.uint32)
+    sent = ids.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def has(*probes: pd.Series) -> pd.Series:
+        hit = np.ones(len(probes[0]), bool)
+        for p in probes:
+            b = p.to_numpy(np.int64)
+            hit &= (sent.value[b >> 5] >> (b & 31).astype(np.uint32)) & 1 == 1
+        return pd.Series(hit)
+
+    return lambda c: has(*[F.pmod(F.xxhash64(c.cast("long"), F.lit(i)), F.lit(bits)) for i in range(_PROBES)])
