@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quern.llm import bpe, jaccard, language, packing, passages, quality, store, token_table, warc
+from quern.llm import bpe, html_content, jaccard, language, media, packing, passages, quality, store, token_table, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op1_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table.read_tokens(spark, path)
 
 
+def op2_jpeg_thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.with_thumbnails(media.rendered(_read(spark, sf_dir, "embeddings")), id_col="vec_id")
+
+
 def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(_read(spark, sf_dir, "documents"))
 
@@ -66,6 +70,11 @@ FROM p
 """
 
 
+def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return html_content.extract(pages, html_content.train(pages))
+
+
 def op9_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_coverage(_read(spark, sf_dir, "documents"))
 
@@ -96,7 +105,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    ops = (op1_token_parquet, op3_repeated_passages, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_encode_decode, op7_warc_archive, op9_repetition_coverage, op10_language_id)
+    ops = (op1_token_parquet, op2_jpeg_thumbnails, op3_repeated_passages, op4_ngram_jaccard_join, op5_best_fit_packing, op6_bpe_encode_decode, op7_warc_archive, op8_html_content, op9_repetition_coverage, op10_language_id)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
