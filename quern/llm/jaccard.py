@@ -193,7 +193,39 @@ def _lists(reps: DataFrame, threshold: float, runs: int, small: int, depth: int)
         last = F.floor((F.col("members") - 1) / half)
         pairs = ranked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).where("other != block")
         lists = lists.unionByName(pairs.groupBy("path", F.least("block", "other"), F.greatest("block", "other")).agg(F.sort_array(F.collect_list("id")).alias("ids")).select("path", "ids"))
-    return lists.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
+    lists = lists.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
+    return _likely(lists, sig, threshold)
+
+
+def _likely(lists: DataFrame, sig: DataFrame, threshold: float) -> DataFrame:
+    """What lists connect after pairs whose signatures disagree too much (three standard deviations) are dropped: the lists of sets worth comparing."""
+    least = max(1, math.floor(SLOTS * threshold - 3 * math.sqrt(SLOTS * threshold * (1 - threshold))))
+    members = lists.select("list_id", F.explode("ids").alias("id")).join(sig, "id").groupBy("list_id").agg(F.collect_list(F.struct("id", "sig")).alias("m")).select("m")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = batch.column(0)
+            bounds = m.offsets.to_numpy()
+            ids = m.values.field(0).to_numpy()
+            sigs = _signatures(m.values.field(1))
+            out: list[np.ndarray] = []
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                agree = np.zeros((hi - lo, hi - lo), np.uint8)
+                for j in range(SLOTS):
+                    v = sigs[lo:hi, j]
+                    agree += v[:, None] == v[None, :]
+                a, b = np.nonzero(np.triu(agree >= least, 1))
+                if not len(a):
+                    continue
+                root = _roots(a, b, hi - lo)
+                order = np.lexsort((ids[lo:hi], root))
+                cut = np.flatnonzero(np.diff(root[order])) + 1
+                out += [g for g in np.split(ids[lo:hi][order], cut) if len(g) > 1]
+            first = np.concatenate([[0], np.cumsum([len(g) for g in out])]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([K.lists(np.concatenate(out) if out else np.zeros(0, np.int64), first, pa.int64())], ["ids"])
+
+    found = members.mapInArrow(run, "ids array<long>")
+    return found.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
 
 
 def _sketched(docs: DataFrame, id_col: str, text_col: str, n: int) -> tuple[DataFrame, DataFrame]:
@@ -220,7 +252,9 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
                 sums = np.append(np.add.reduceat(g, np.minimum(first[:-1], max(0, len(g) - 1))) if len(g) else np.zeros(hi - lo, np.uint64), np.uint64(0))[:-1]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(sums.view(np.int64)), K.lists(g.view(np.int64), first, pa.int64())], ["id", "in_lists", "s1", "grams"])
 
-    made = wanted.join(texts, "id").select("id", "in_lists", "t").mapInArrow(sets, "id long, in_lists array<long>, s1 long, grams array<long>").where(F.size("grams") > 0)
+    wanted = store.table(wanted, "wanted")
+    likely = store.sieve(wanted.select("id"))
+    made = wanted.join(texts.where(likely(F.col("id"))), "id").select("id", "in_lists", "t").mapInArrow(sets, "id long, in_lists array<long>, s1 long, grams array<long>").where(F.size("grams") > 0)
     groups = made.withColumn("list_id", F.explode("in_lists")).groupBy("list_id").agg(F.collect_list(F.struct("id", "in_lists", "s1", "grams")).alias("m"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +290,21 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
     return groups.mapInArrow(compare, "doc_a long, doc_b long, shared long, total long")
 
 
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least member of each place's component."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Pairs that make up a spanning forest."""
     parent = list(range(n))
 
     def find(x: int) -> int:
@@ -323,5 +371,6 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     near = _compared(docs, _lists(reps, threshold, runs_needed(threshold, recall, depth), small, depth), id_col, text_col, n, threshold, forest=True)
     groups = components(store.table(near.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), "forest"))
     gone = copies.where("id != rep").select("id").unionByName(groups.where("a != label").select(F.col("a").alias("id")))
-    gone = store.table(gone.select(F.col("id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    gone = store.table(gone.distinct(), "gone")
+    maybe = F.coalesce(store.sieve(gone)(docs[id_col]), F.lit(False)) & docs[id_col].isNotNull()
+    return docs.where(~maybe).unionByName(docs.where(maybe).join(gone.select(F.col("id").alias("__gone")), docs[id_col].cast("long") == F.col("__gone"), "left_anti"))
