@@ -16,27 +16,32 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language the classifier doesn't dispute."""
+    store.small_batches(spark)
     return language.keep_accepted(docs, language.train(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that don't repeat themselves."""
+    store.small_batches(spark)
     return quality.keep_quality(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of exact or near copies."""
+    store.small_batches(spark)
     return jaccard.keep_one_of_each_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that an earlier document has."""
+    store.small_batches(spark)
     store.drop_tables(spark)  # those of the stage before, whose result is written by now
     return passages.cut_passages(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens: which part of which document comes where."""
+    store.small_batches(spark)
     store.drop_tables(spark)
     return packing.pack(bpe.with_tokens(docs.select("doc_id", "text"), count_col="n_tokens", kind="library", keep=False))
 

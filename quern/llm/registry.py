@@ -16,6 +16,7 @@ _WORDS = r"regexp_extract_all(lower(text), '[0-9A-Za-z_\x{80}-\x{10FFFF}]+')"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    store.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -37,6 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own[app]}"
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound what passes between the JVM and Python at once, unless the session sets a bound itself.
+
+    The default of 10,000 rows lets a batch of texts or lists take hundreds of MB in either.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.sparkContext.getConf().get(name) is None:
+        spark.conf.set(name, str(rows))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     path = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
