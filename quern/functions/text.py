@@ -21,7 +21,9 @@ def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-nfkc = F.pandas_udf(_nfkc, "string")
+def nfkc(c: Column) -> Column:
+    """Unicode NFKC, which Spark lacks."""
+    return F.pandas_udf(_nfkc, "string")(c)
 
 
 def _repair(s: pd.Series) -> pd.Series:

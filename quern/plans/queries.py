@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import education as E
@@ -16,7 +16,6 @@ from quern.plans.registry import register, table
 from quern.sources import readers as R
 from quern.sources import writers as S
 
-TEXT = F.col("text")
 _W = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 _CW = r"regexp_extract_all(text, '[\p{L}\p{N}_]+')"
 _WC = r"len(regexp_extract_all(text, '\S+'))"
@@ -31,17 +30,21 @@ _GRAMS = f"{_WORDS}, g AS (SELECT doc_id, unnest(list_distinct({_grams(13)})) AS
 _STATUS = f"{_GRAMS}, st AS (SELECT doc_id, lang, text, CASE WHEN length(text) < 200 THEN 'too_short' WHEN length(text) > 100000 THEN 'too_long' WHEN doc_id IN (SELECT doc_id FROM hit) THEN 'contaminated' ELSE 'clean' END AS status, {_WC} AS words FROM documents)"
 
 
+def text() -> Column:
+    return F.col("text")
+
+
 def docs(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents")
 
 
 def index(s: SparkSession, d: str) -> DataFrame:
-    return D.benchmark_index(table(s, d, "benchmark"), TEXT, F.col("item_id"))
+    return D.benchmark_index(table(s, d, "benchmark"), text(), F.col("item_id"))
 
 
 def clean_docs(s: SparkSession, d: str) -> DataFrame:
     """Documents that pass the length gate and the index; texts are normalised first."""
-    return D.with_status(docs(s, d).withColumn("text", T.normalize(TEXT)), index(s, d), "doc_id", TEXT).where("status = 'clean'").drop("status")
+    return D.with_status(docs(s, d).withColumn("text", T.normalize(text())), index(s, d), "doc_id", text()).where("status = 'clean'").drop("status")
 
 
 # Sources
@@ -73,13 +76,13 @@ def src4(s, d):
 
 @register("src5_annotation_lines", "SELECT accepted, count(*) AS n FROM (SELECT true AS accepted FROM documents UNION ALL SELECT false FROM range(2)) GROUP BY accepted")
 def src5(s, d):
-    lines = docs(s, d).select(F.to_json(F.struct("doc_id", "lang", C.rule_annotation(TEXT).alias("annotation"))).alias("value")).unionByName(s.createDataFrame([('{"doc_id": 1}',), ("{broken",), ("",)], "value string"))
+    lines = docs(s, d).select(F.to_json(F.struct("doc_id", "lang", C.rule_annotation(text()).alias("annotation"))).alias("value")).unionByName(s.createDataFrame([('{"doc_id": 1}',), ("{broken",), ("",)], "value string"))
     return R.annotation_lines(lines, f"doc_id BIGINT, lang STRING, annotation {C.ANNOTATION}").groupBy("accepted").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("src6_tsv", "SELECT DISTINCT full_text FROM (SELECT replace(text, chr(10), ' ') AS full_text FROM documents) WHERE full_text <> ''")
 def src6(s, d):
-    flat = T.flatten_lines(TEXT)
+    flat = T.flatten_lines(text())
     lines = docs(s, d).select(F.concat_ws("\t", F.col("doc_id").cast("string"), F.lit("w"), flat).alias("value")).unionByName(s.createDataFrame([("7\tw",)], "value string"))
     return R.tsv(lines, ["item", "word", "full_text"], "full_text")
 
@@ -98,7 +101,7 @@ def src8(s, d):
 @register("src9_whole_files", f"WITH f AS (SELECT item_id % 4 AS file, string_agg(text, chr(10) ORDER BY item_id) AS text FROM benchmark GROUP BY 1), b AS (SELECT file, {_W} AS w FROM f) SELECT DISTINCT unnest({_grams(13)}) AS gram FROM b")
 def src9(s, d):
     files = R.whole_files(table(s, d, "benchmark"), F.col("item_id") % 4, "item_id", "text")
-    return D.grams_of(files, "file", TEXT).select("gram").distinct()
+    return D.grams_of(files, "file", text()).select("gram").distinct()
 
 
 @register("src10_word_files", "SELECT doc_id, i - 1 AS line_no, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)")
@@ -108,7 +111,7 @@ def src10(s, d):
 
 @register("src11_gram_lines", f"{_WORDS} SELECT gram, CAST(item_id AS VARCHAR) AS document_id FROM (SELECT item_id, unnest({_grams(5)}) AS gram FROM b)")
 def src11(s, d):
-    lines = table(s, d, "benchmark").select(F.explode(T.ngrams(T.words(TEXT), 5)).alias("g"), "item_id").select(F.concat_ws(" ", "g", F.col("item_id").cast("string")).alias("value"))
+    lines = table(s, d, "benchmark").select(F.explode(T.ngrams(T.words(text()), 5)).alias("g"), "item_id").select(F.concat_ws(" ", "g", F.col("item_id").cast("string")).alias("value"))
     return R.gram_lines(lines)
 
 
@@ -136,7 +139,7 @@ _IDS = f"{_STATUS}, c AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS d
 
 
 def _sharded(s, d):
-    return S.sharded(clean_docs(s, d).select("doc_id", "lang", T.word_count(TEXT).alias("words")), "doc_id", F.lit("all"), per_shard=100)
+    return S.sharded(clean_docs(s, d).select("doc_id", "lang", T.word_count(text()).alias("words")), "doc_id", F.lit("all"), per_shard=100)
 
 
 @register("snk1_shards", f"{_IDS} SELECT doc_id, dense_id, shard, CAST(words AS INT) AS words FROM sh")
@@ -164,37 +167,37 @@ def snk7(s, d):
 
 @register("txt1_normalize", "SELECT doc_id, text FROM documents")
 def txt1(s, d):
-    return docs(s, d).select("doc_id", T.normalize(TEXT).alias("text"))
+    return docs(s, d).select("doc_id", T.normalize(text()).alias("text"))
 
 
 @register("txt2_clean", "SELECT doc_id, text FROM documents")
 def txt2(s, d):
-    return docs(s, d).select("doc_id", T.clean(TEXT).alias("text"))
+    return docs(s, d).select("doc_id", T.clean(text()).alias("text"))
 
 
 @register("txt3_length_gate", "SELECT doc_id, CASE WHEN length(text) < 200 THEN 'too_short' WHEN length(text) > 100000 THEN 'too_long' ELSE 'ok' END AS status FROM documents")
 def txt3(s, d):
-    return docs(s, d).select("doc_id", T.length_status(TEXT).alias("status"))
+    return docs(s, d).select("doc_id", T.length_status(text()).alias("status"))
 
 
 @register("txt4_words", f"SELECT doc_id, array_to_string({_W}, ' ') AS words FROM documents")
 def txt4(s, d):
-    return docs(s, d).select("doc_id", F.array_join(T.words(TEXT), " ").alias("words"))
+    return docs(s, d).select("doc_id", F.array_join(T.words(text()), " ").alias("words"))
 
 
 @register("txt5_ngram_sets", f"{_WORDS} SELECT doc_id, len(list_distinct({_grams(13)})) AS grams FROM w")
 def txt5(s, d):
-    return docs(s, d).select("doc_id", F.size(T.ngram_set(T.words(TEXT), 13)).cast("long").alias("grams"))
+    return docs(s, d).select("doc_id", F.size(T.ngram_set(T.words(text()), 13)).cast("long").alias("grams"))
 
 
 @register("txt6_word_count", f"SELECT doc_id, {_WC} AS words FROM documents")
 def txt6(s, d):
-    return docs(s, d).select("doc_id", T.word_count(TEXT).cast("long").alias("words"))
+    return docs(s, d).select("doc_id", T.word_count(text()).cast("long").alias("words"))
 
 
 @register("txt7_flatten_lines", "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents")
 def txt7(s, d):
-    return docs(s, d).select("doc_id", T.flatten_lines(TEXT).alias("text"))
+    return docs(s, d).select("doc_id", T.flatten_lines(text()).alias("text"))
 
 
 _MASK = r"regexp_replace(regexp_replace(regexp_replace(text, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+', '[EMAIL]', 'g'), '\b(\+?\d[\d\s\-().]{7,}\d)\b', '[PHONE]', 'g'), '\b\d{3}-\d{2}-\d{4}\b', '[SSN]', 'g')"
@@ -202,12 +205,12 @@ _MASK = r"regexp_replace(regexp_replace(regexp_replace(text, '[a-zA-Z0-9_.+-]+@[
 
 @register("txt8_mask_personal", f"SELECT doc_id, {_MASK} AS text FROM documents")
 def txt8(s, d):
-    return docs(s, d).select("doc_id", T.mask_personal(TEXT).alias("text"))
+    return docs(s, d).select("doc_id", T.mask_personal(text()).alias("text"))
 
 
 @register("txt9_hashes", "SELECT doc_id, sha256(text) AS sha, md5(left(text, 200)) AS id FROM documents")
 def txt9(s, d):
-    return docs(s, d).select("doc_id", T.content_hash(TEXT).alias("sha"), T.fallback_id(TEXT).alias("id"))
+    return docs(s, d).select("doc_id", T.content_hash(text()).alias("sha"), T.fallback_id(text()).alias("id"))
 
 
 @register("txt10_truncations", "SELECT doc_id, left(text, 512) AS embed, left(text, 2000) AS prompt, left(text, 150) AS calibration FROM documents")
@@ -220,8 +223,8 @@ _SNIPPET = "CASE WHEN instr(lower(text), word) > 0 THEN substring(text, greatest
 
 @register("txt11_snippet", f"{_GRAMS}, f AS (SELECT doc_id, string_split(min(gram), ' ')[1] AS word FROM hit GROUP BY doc_id) SELECT doc_id, {_SNIPPET} AS context FROM documents JOIN f USING (doc_id)")
 def txt11(s, d):
-    first = D.overlaps(docs(s, d), index(s, d), "doc_id", TEXT).groupBy("doc_id").agg(F.min("gram").alias("g"))
-    return docs(s, d).join(first, "doc_id").select("doc_id", T.snippet(TEXT, F.split("g", " ")[0]).alias("context"))
+    first = D.overlaps(docs(s, d), index(s, d), "doc_id", text()).groupBy("doc_id").agg(F.min("gram").alias("g"))
+    return docs(s, d).join(first, "doc_id").select("doc_id", T.snippet(text(), F.split("g", " ")[0]).alias("context"))
 
 
 @register("txt12_fenced_json", "SELECT doc_id, lang FROM documents")
@@ -252,17 +255,17 @@ def dec2(s, d):
 
 @register("dec3_contaminated_docs", f"{_GRAMS} SELECT DISTINCT doc_id FROM hit")
 def dec3(s, d):
-    return D.contaminated_ids(docs(s, d), index(s, d), "doc_id", TEXT)
+    return D.contaminated_ids(docs(s, d), index(s, d), "doc_id", text())
 
 
 @register("dec4_overlap_listing", f"{_GRAMS} SELECT doc_id, count(*) AS n_overlaps, string_agg(gram, '|' ORDER BY gram) AS grams FROM hit GROUP BY doc_id")
 def dec4(s, d):
-    return D.overlap_listing(docs(s, d), index(s, d), "doc_id", TEXT)
+    return D.overlap_listing(docs(s, d), index(s, d), "doc_id", text())
 
 
 @register("dec5_status", f"{_STATUS} SELECT doc_id, status FROM st")
 def dec5(s, d):
-    return D.with_status(docs(s, d).withColumn("text", T.normalize(TEXT)), index(s, d), "doc_id", TEXT).select("doc_id", "status")
+    return D.with_status(docs(s, d).withColumn("text", T.normalize(text())), index(s, d), "doc_id", text()).select("doc_id", "status")
 
 
 _COUNTS = f"{_STATUS} SELECT lang, count(*) AS streamed, sum((status = 'too_short')::INT)::BIGINT AS too_short, sum((status = 'too_long')::INT)::BIGINT AS too_long, sum((status = 'contaminated')::INT)::BIGINT AS contaminated, sum((status = 'clean')::INT)::BIGINT AS clean, sum(CASE WHEN status = 'clean' THEN words ELSE 0 END)::BIGINT AS clean_words, sum((status = 'contaminated')::INT) / greatest(1, sum((status IN ('contaminated', 'clean'))::INT)) AS contamination_rate FROM st GROUP BY lang"
@@ -270,7 +273,7 @@ _COUNTS = f"{_STATUS} SELECT lang, count(*) AS streamed, sum((status = 'too_shor
 
 @register("dec6_status_counts", _COUNTS)
 def dec6(s, d):
-    return D.status_counts(D.with_status(docs(s, d).withColumn("text", T.normalize(TEXT)), index(s, d), "doc_id", TEXT), "lang", T.word_count(TEXT))
+    return D.status_counts(D.with_status(docs(s, d).withColumn("text", T.normalize(text())), index(s, d), "doc_id", text()), "lang", T.word_count(text()))
 
 
 _SCAN = f"{_WORDS}, g AS (SELECT doc_id, unnest(list_distinct({_grams(13)})) AS gram FROM w), q AS (SELECT item_id, unnest(list_distinct({_grams(13)})) AS gram FROM b), h AS (SELECT item_id, doc_id, count(*) AS n_overlaps, min(gram) AS first_gram FROM g JOIN q USING (gram) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY doc_id) AS k, string_split(first_gram, ' ')[1] AS word FROM h)"
@@ -278,26 +281,26 @@ _SCAN = f"{_WORDS}, g AS (SELECT doc_id, unnest(list_distinct({_grams(13)})) AS
 
 @register("dec7_corpus_scan", f"{_SCAN} SELECT item_id, doc_id, n_overlaps, first_gram, {_SNIPPET} AS context FROM r JOIN documents USING (doc_id) WHERE k <= 10 AND item_id = 1")
 def dec7(s, d):
-    return D.scan_corpus(docs(s, d), table(s, d, "benchmark").where("item_id = 1"), "doc_id", TEXT, "item_id", TEXT)
+    return D.scan_corpus(docs(s, d), table(s, d, "benchmark").where("item_id = 1"), "doc_id", text(), "item_id", text())
 
 
 @register("dec8_remote_scan", f"{_SCAN} SELECT item_id, doc_id, n_overlaps FROM r WHERE k <= 5")
 def dec8(s, d):
-    return D.scan_corpus(R.shards(s, f"file://{d}/documents.parquet", ["doc_id", "text"]), table(s, d, "benchmark"), "doc_id", TEXT, "item_id", TEXT, most=5).select("item_id", "doc_id", "n_overlaps")
+    return D.scan_corpus(R.shards(s, f"file://{d}/documents.parquet", ["doc_id", "text"]), table(s, d, "benchmark"), "doc_id", text(), "item_id", text(), most=5).select("item_id", "doc_id", "n_overlaps")
 
 
 @register("dec9_batch", f"{_SCAN} SELECT item_id, left(any_value(text), 200) AS shown, count(doc_id) AS matches FROM benchmark LEFT JOIN (SELECT item_id, doc_id FROM r WHERE k <= 10) x USING (item_id) GROUP BY item_id")
 def dec9(s, d):
     bench = table(s, d, "benchmark")
-    hits = D.scan_corpus(docs(s, d), bench, "doc_id", TEXT, "item_id", TEXT).groupBy("item_id").agg(F.count(F.lit(1)).alias("matches"))
+    hits = D.scan_corpus(docs(s, d), bench, "doc_id", text(), "item_id", text()).groupBy("item_id").agg(F.count(F.lit(1)).alias("matches"))
     return bench.select("item_id", F.substring("text", 1, 200).alias("shown")).join(hits, "item_id", "left").withColumn("matches", F.coalesce("matches", F.lit(0)))
 
 
 @register("dec10_task_overlap", f"{_WORDS}, q AS (SELECT item_id, 'task' || item_id % 3 AS task, unnest(list_distinct({_grams(13)})) AS gram FROM b) SELECT task, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS doc_ids FROM q WHERE gram IN (SELECT unnest({_grams(13)}) FROM w) GROUP BY task")
 def dec10(s, d):
     tasks = table(s, d, "benchmark").withColumn("task", F.concat(F.lit("task"), (F.col("item_id") % 3).cast("string")))
-    train = docs(s, d).select(F.explode(T.ngrams(T.words(TEXT), 13)).alias("gram"))
-    return D.task_overlap(tasks, train, "task", "item_id", TEXT).withColumn("doc_ids", F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ","))
+    train = docs(s, d).select(F.explode(T.ngrams(T.words(text()), 13)).alias("gram"))
+    return D.task_overlap(tasks, train, "task", "item_id", text()).withColumn("doc_ids", F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ","))
 
 
 # Budgets, splits, samples
@@ -305,7 +308,7 @@ def dec10(s, d):
 
 @register("bud1_word_budget", f"{_STATUS}, c AS (SELECT doc_id, words, coalesce(sum(words) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS words_before FROM st WHERE status = 'clean') SELECT doc_id, words_before FROM c WHERE words_before < 100000")
 def bud1(s, d):
-    return O.word_budget(clean_docs(s, d).select("doc_id", T.word_count(TEXT).alias("words")), "doc_id", F.col("words"), 100_000).select("doc_id", "words_before")
+    return O.word_budget(clean_docs(s, d).select("doc_id", T.word_count(text()).alias("words")), "doc_id", F.col("words"), 100_000).select("doc_id", "words_before")
 
 
 @register("bud2_word_target", "SELECT CAST(floor(28000000000 / 1.3) AS BIGINT) AS target_words")
@@ -319,7 +322,7 @@ _CHUNKS = f"{_IDW}, ch AS (SELECT doc_id, lang, unnest(range(len(ids) // 64)) AS
 
 def encoded(s, d):
     rows = docs(s, d)
-    return P.encode_words(rows, "doc_id", TEXT, P.word_vocabulary(rows, TEXT)).join(rows.drop("text"), "doc_id")
+    return P.encode_words(rows, "doc_id", text(), P.word_vocabulary(rows, text())).join(rows.drop("text"), "doc_id")
 
 
 def joined(c):
@@ -346,7 +349,7 @@ _ALLOC = f"WITH c AS (SELECT source, sum({_WC})::BIGINT AS n FROM documents GROU
 
 
 def _shares(s, d):
-    return O.largest_remainder(docs(s, d).groupBy("source").agg(F.sum(T.word_count(TEXT)).alias("n")), "source", "n", "source", 10_007)
+    return O.largest_remainder(docs(s, d).groupBy("source").agg(F.sum(T.word_count(text())).alias("n")), "source", "n", "source", 10_007)
 
 
 @register("bud6_largest_remainder", f"{_ALLOC} SELECT source, n, share FROM a")
@@ -406,7 +409,7 @@ def smp5(s, d):
 
 @register("dup1_exact_dedup", "SELECT min(doc_id) AS doc_id FROM documents GROUP BY sha256(text)")
 def dup1(s, d):
-    return C.first_of_each(docs(s, d), T.content_hash(T.clean(TEXT)), "doc_id").select("doc_id")
+    return C.first_of_each(docs(s, d), T.content_hash(T.clean(text())), "doc_id").select("doc_id")
 
 
 @register("dup3_distinct_passages", "SELECT DISTINCT text FROM documents")
