@@ -37,14 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own[app]}"
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound what passes between the JVM and Python at once, unless the session sets a bound itself.
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Bound what passes between the JVM and Python at once, by rows and bytes, unless the session sets a bound itself.
 
-    The default of 10,000 rows lets a batch of texts or lists take hundreds of MB in either.
+    The defaults let a batch of texts or lists take hundreds of MB in either. A row beyond size goes alone.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.sparkContext.getConf().get(name) is None:
-        spark.conf.set(name, str(rows))
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        if spark.sparkContext.getConf().get(f"spark.sql.execution.arrow.{name}") is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
 def new_path(spark: SparkSession, name: str) -> str:
