@@ -16,7 +16,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,11 +181,12 @@ def pack(sizes: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens",
     mix, rate = fit_mix(histogram, parts)
     shards = max(1, math.ceil(sum(r["count"] for r in counted) / shard_rows))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "n"], kind="stable", ignore_index=True)
-        row, start, size, where, offset = pack_shard(pdf["n"].to_numpy(np.int64), mix, rate, capacity, width)
+    def run(shard: pa.Table) -> pa.Table:
+        shard = shard.take(pc.sort_indices(shard, [("id", "ascending"), ("n", "ascending")]))
+        row, start, size, where, offset = pack_shard(shard["n"].to_numpy().astype(np.int64), mix, rate, capacity, width)
         first = np.searchsorted(where, where)
-        return pd.DataFrame({"pack_id": (int(pdf["shard"].iloc[0]) << 32) + where, "slot": (np.arange(len(where)) - first).astype(np.int32), "id": pdf["id"].to_numpy()[row], "start": start, "length": size.astype(np.int32), "offset": offset.astype(np.int32)})
+        columns = {"pack_id": (shard["shard"][0].as_py() << 32) + where, "slot": (np.arange(len(where)) - first).astype(np.int32), "id": shard["id"].take(pa.array(row)), "start": start, "length": size.astype(np.int32), "offset": offset.astype(np.int32)}
+        return pa.table(columns)
 
-    packed = rows.withColumn("shard", F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(shards))).groupBy("shard").applyInPandas(run, f"pack_id long, slot int, id {kind}, start long, length int, offset int")
+    packed = rows.withColumn("shard", F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(shards))).groupBy("shard").applyInArrow(run, f"pack_id long, slot int, id {kind}, start long, length int, offset int")
     return packed.withColumnRenamed("id", id_col)
