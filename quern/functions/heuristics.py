@@ -135,3 +135,17 @@ def passes(c: Column, lang: Column, limits: Limits = Limits()) -> Column:
     other = (size <= 0) | (size.between(*limits.sentence) & letters.between(*limits.letters))
     readable = F.when(lang == "en", (fk < 0) | fk.between(*limits.grade)).otherwise(other)
     return stop_ok & readable & (script_consistency(c, lang) >= limits.script) & (repetition_ratio(w) >= limits.distinct)
+
+
+def stats(c: Column, lang: Column, limits: Limits = Limits()) -> dict[str, Column]:
+    """Every measure of the gate, and its verdict, by name."""
+    w = T.words(c)
+    return {
+        "stopword_density": stopword_density(w, lang),
+        "grade": flesch_kincaid(c),
+        "sentence_length": sentence_length(c),
+        "letters_in_word": letters_in_word(c),
+        "script_consistency": script_consistency(c, lang),
+        "repetition_ratio": repetition_ratio(w),
+        "passes": passes(c, lang, limits),
+    }

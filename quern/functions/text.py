@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -77,9 +78,15 @@ def word_count(c: Column) -> Column:
     return F.size(F.regexp_extract_all(c, F.lit(rf"[^{SPACE}]+"), 0))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once: a lambda computes again, for each element, what is written inside it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ngrams(w: Column, n: int) -> Column:
     """All n-grams of an array of words, joined by blanks, with repeats."""
-    return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    grams = lambda x: F.when(F.size(x) >= n, F.transform(F.sequence(F.lit(1), F.size(x) - n + 1), lambda i: F.array_join(F.slice(x, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    return let(w, grams)
 
 
 def ngram_set(w: Column, n: int) -> Column:

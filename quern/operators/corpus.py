@@ -126,13 +126,28 @@ def rule_annotation(c: Column) -> Column:
     )
 
 
+PROMPT = "Judge the text for learners. Answer with one JSON object that has the groups readability, comprehension, vocabulary, pedagogy, engagement and topic, each with flags that are true or false.\n{calibration}\nText:\n{input_text}"
+
+
+def prompt(c: Column, calibration: Column | None = None, longest: int = 2000) -> Column:
+    """What an annotator is asked about a text: examples first, then the beginning of the text."""
+    shown = F.substring(F.coalesce(c, F.lit("")), 1, longest)
+    examples = F.lit("") if calibration is None else F.coalesce(calibration, F.lit(""))
+    return F.replace(F.replace(F.lit(PROMPT), F.lit("{calibration}"), examples), F.lit("{input_text}"), shown)
+
+
 def topic_stats(df: DataFrame, lang: str, topic: str, quality: str, level: str) -> DataFrame:
     """For each language and topic: count, sum of quality, and documents of each difficulty."""
     one = lambda k: F.sum((F.col(level) == k).cast("long"))
     return df.groupBy(lang, topic).agg(F.count(F.lit(1)).alias("count"), F.sum(quality).alias("quality_sum"), one(1).alias("level_1"), one(2).alias("level_2"), one(3).alias("level_3")).withColumn("avg_quality", F.col("quality_sum") / F.col("count"))
 
 
-def nearest_centroid(df: DataFrame, vector: str, centroids: list[list[float]], out: str = "topic") -> DataFrame:
-    """The place of the centroid of least squared distance; ties go to the first. Sums run in order of components."""
-    dist = [F.aggregate(F.zip_with(F.col(vector).cast("array<double>"), F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x) for c in centroids]
-    return df.withColumn("__d", F.array(*dist)).withColumn(out, F.array_position("__d", F.array_min("__d")) - 1).drop("__d")
+def index_totals(stats: DataFrame, lang: str) -> DataFrame:
+    """By language: topics, documents and mean quality, from what topic_stats counted."""
+    out = stats.groupBy(lang).agg(F.count(F.lit(1)).alias("topics"), F.sum("count").alias("docs"), F.sum("quality_sum").alias("__q"))
+    return out.select(lang, "topics", "docs", F.round(F.col("__q") / F.col("docs"), 3).alias("avg_quality"))
+
+
+def corpus_totals(by_language: DataFrame) -> DataFrame:
+    """One row over all languages, from index_totals."""
+    return by_language.agg(F.count(F.lit(1)).alias("languages"), F.sum("docs").alias("docs"), F.sum("topics").alias("topics"))

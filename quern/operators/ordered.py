@@ -30,15 +30,15 @@ def prefix_sum(df: DataFrame, order: str, value: Column, out: str, group: str |
     by = ["__r", *([group] if group else [])]
     totals = rows.groupBy(*by).agg(F.sum("__v").alias("__t"))
     over = Window.orderBy("__r") if not group else Window.partitionBy(group).orderBy("__r")
-    offsets = totals.withColumn("__before", F.coalesce(F.sum("__t").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__t")
+    offsets = totals.withColumn("__offset", F.coalesce(F.sum("__t").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__t")
     within = Window.partitionBy(*by).orderBy(order, *(then or [])).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__within", F.coalesce(F.sum("__v").over(within), F.lit(0)))
-    matched = offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], "__before")
+    matched = offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], "__offset")
     cond = None
     for i, c in enumerate(by):
         one = rows[c].eqNullSafe(matched[f"__k{i}"])
         cond = one if cond is None else cond & one
-    return rows.join(F.broadcast(matched) if len(bounds) < 10_000 and not group else matched, cond).withColumn(out, F.col("__before") + F.col("__within")).drop("__v", "__r", "__within", "__before", *[f"__k{i}" for i in range(len(by))])
+    return rows.join(F.broadcast(matched) if len(bounds) < 10_000 and not group else matched, cond).withColumn(out, F.col("__offset") + F.col("__within")).drop("__v", "__r", "__within", "__offset", *[f"__k{i}" for i in range(len(by))])
 
 
 def dense_ids(df: DataFrame, order: str, out: str = "dense_id", group: str | None = None, then: list[str] | None = None) -> DataFrame:

@@ -47,6 +47,12 @@ def clean_docs(s: SparkSession, d: str) -> DataFrame:
     return D.with_status(docs(s, d).withColumn("text", T.normalize(text())), index(s, d), "doc_id", text()).where("status = 'clean'").drop("status")
 
 
+def stored(df, name: str):
+    """df, written to the shared folder: an order-dependent operator reads its input more than once."""
+    df.write.parquet(path := S.scratch(df.sparkSession, name))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Sources
 
 
@@ -139,7 +145,7 @@ _IDS = f"{_STATUS}, c AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS d
 
 
 def _sharded(s, d):
-    return S.sharded(clean_docs(s, d).select("doc_id", "lang", T.word_count(text()).alias("words")), "doc_id", F.lit("all"), per_shard=100)
+    return S.sharded(stored(clean_docs(s, d).select("doc_id", "lang", T.word_count(text()).alias("words")), "clean"), "doc_id", F.lit("all"), per_shard=100)
 
 
 @register("snk1_shards", f"{_IDS} SELECT doc_id, dense_id, shard, CAST(words AS INT) AS words FROM sh")
@@ -308,7 +314,7 @@ def dec10(s, d):
 
 @register("bud1_word_budget", f"{_STATUS}, c AS (SELECT doc_id, words, coalesce(sum(words) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS words_before FROM st WHERE status = 'clean') SELECT doc_id, words_before FROM c WHERE words_before < 100000")
 def bud1(s, d):
-    return O.word_budget(clean_docs(s, d).select("doc_id", T.word_count(text()).alias("words")), "doc_id", F.col("words"), 100_000).select("doc_id", "words_before")
+    return O.word_budget(stored(clean_docs(s, d).select("doc_id", T.word_count(text()).alias("words")), "clean"), "doc_id", F.col("words"), 100_000).select("doc_id", "words_before")
 
 
 @register("bud2_word_target", "SELECT CAST(floor(28000000000 / 1.3) AS BIGINT) AS target_words")

@@ -35,4 +35,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("lang").count()
+    return _QUERIES["dec6_status_counts"](spark, sf_dir)

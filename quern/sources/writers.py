@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import atexit
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.ordered import dense_ids
 
+_own: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share: spark.checkpoint.dir; where that is unset, a local session gets a temporary one."""
+    there = spark.conf.get("spark.checkpoint.dir", None)
+    if not there:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="quern-")
+            atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
+        there = f"file://{_own[app]}"
+    return f"{there.rstrip('/')}/quern/{name}-{uuid.uuid4().hex}"
+
 
 def sharded(df: DataFrame, order: str, prefix: Column, per_shard: int = 50_000, id_col: str = "dense_id", pattern: str = "%s_clean_%05d.parquet") -> DataFrame:
     """df with dense ids by order, and shard, the name of the file that a row belongs to."""
