@@ -50,12 +50,15 @@ class Limits:
     letters: tuple[float, float] = (2.0, 20.0)
 
 
+def _among(w: Column, known: list[str]) -> Column:
+    return F.size(F.filter(w, lambda x: x.isin(known)))
+
+
 def stopword_hits(w: Column, lang: Column) -> Column:
     """How many words are function words of the language; null where there is no list."""
     hit = F.lit(None).cast("int")
     for code, stops in STOPWORDS.items():
-        known = F.array(*map(F.lit, stops))
-        hit = F.when(lang == code, F.size(F.filter(w, lambda x, known=known: F.array_contains(known, x)))).otherwise(hit)
+        hit = F.when(lang == code, _among(w, stops)).otherwise(hit)
     return hit
 
 

@@ -81,17 +81,18 @@ def heu8(s, d):
 # Educational rules
 
 
+# Word boundaries of SQL know ASCII only, so plain has other letters as one of them.
 def _matches(pattern: str) -> str:
-    return "regexp_matches(text, '" + pattern.replace("'", "''") + "')"
+    return "regexp_matches(plain, '" + pattern.replace("'", "''") + "')"
 
 
 def _count(pattern: str) -> str:
-    return "len(regexp_extract_all(text, '" + pattern.replace("'", "''") + "'))"
+    return "len(regexp_extract_all(plain, '" + pattern.replace("'", "''") + "'))"
 
 
 _HITS = " + ".join(f"{_matches(p)}::INT" for p in E.TOXIC)
 _PARTS = r"list_filter(string_split_regex(text, '[.!?]'), lambda x: regexp_matches(x, '\S'))"
-_EDU = rf"""e0 AS (SELECT *, {_WC} AS words, {_W} AS w, {_CW} AS cw, {_PARTS} AS parts, {_SENT1} AS sents1, {_HITS} AS hits FROM src),
+_EDU = rf"""e0 AS (SELECT *, regexp_replace(regexp_replace(text, '[^\x00-\x7F\p{{L}}\p{{N}}]', ' ', 'g'), '[^\x00-\x7F]', 'q', 'g') AS plain, {_WC} AS words, {_W} AS w, {_CW} AS cw, {_PARTS} AS parts, {_SENT1} AS sents1, {_HITS} AS hits FROM src),
 e1 AS (SELECT *, CASE WHEN len(parts) > 0 THEN list_sum(list_transform(parts, lambda x: len(regexp_extract_all(x, '\S+')))) / len(parts) END AS mean, {_SYL} AS syl, {_CHARS} AS chars FROM e0),
 e2 AS (SELECT *, least({_count(E.POSITIVE)} / greatest(words / 50, 1.0), 2.5) - least({_count(E.NEGATIVE)} / greatest(words / 50, 1.0), 2.0) + CASE WHEN mean BETWEEN 10 AND 25 THEN 1.0 WHEN mean < 5 OR mean > 50 THEN -0.5 ELSE 0.0 END::DOUBLE + CASE WHEN regexp_matches(text, '\n#+\s') THEN 0.5 ELSE 0.0 END::DOUBLE + CASE WHEN regexp_matches(text, '\d+\.') THEN 0.3 ELSE 0.0 END::DOUBLE + CASE WHEN regexp_matches(text, '(?i)\bfigure\b|\btable\b') THEN 0.3 ELSE 0.0 END::DOUBLE AS raw,
 len(cw) > 0 AND sents1 > 0 AS usable FROM e1),

@@ -52,13 +52,16 @@ def take_batch(batch: DataFrame, batch_id: int, index: DataFrame, out: str, targ
 
 
 def ingest(spark: SparkSession, source: str, index: DataFrame, out: str, target_words: int, schema: str = SCHEMA, files: int | None = None) -> DataFrame:
-    """Run all that source (a directory of Parquet files) has now, files of them at once, and return all clean documents so far.
+    """Run all that source (a directory of Parquet files, or one file) has now, files of them at once, and return all clean documents so far.
 
     Called again, it goes on after what it did, also after a crash: progress is kept under out/checkpoint.
     """
     stream = spark.readStream.schema(schema)
     if files:
         stream = stream.option("maxFilesPerTrigger", files)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        stream, source = stream.option("pathGlobFilter", at.getName()), at.getParent().toString()
     query = stream.parquet(source).writeStream.foreachBatch(lambda b, i: take_batch(b, i, index, out, target_words)).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     found = "dense_id BIGINT, doc_id BIGINT, lang STRING, text STRING, words BIGINT, words_before BIGINT, batch BIGINT"
