@@ -152,7 +152,7 @@ def similar_in(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np
     place = (np.cumsum(shared) - 1)[column[keep]]
     row = row[keep]
     both = np.zeros((m, m), np.float32)
-    width = max(1, (16 << 20) // max(1, m))  # columns at once: 64 MB of floats at most
+    width = max(1, (4 << 20) // max(1, m))  # columns at once: 16 MB of floats at most
     order = np.argsort(place, kind="stable")
     place, row = place[order], row[order]
     n = int(shared.sum())

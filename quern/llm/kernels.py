@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; bounds a worker's memory. A longer document is handled alone.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INV = pow(_R, -1, 1 << 64)

@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own[app]}"
 
 
-def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
     """Bound what passes between the JVM and Python at once, by rows and bytes, unless the session sets a bound itself.
 
     The defaults let a batch of texts or lists take hundreds of MB in either. A row beyond size goes alone.
