@@ -19,6 +19,8 @@ ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 64 << 10, 1000
 def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", tokens_col: str = "tokens", encoding: str = "dictionary", row_group: int = ROW_GROUP, page: int = PAGE, page_rows: int = PAGE_ROWS, mode: str = "error") -> None:
     """Write df as Parquet with tokens_col (array of int) in the encoding 'dictionary' or 'delta'.
 
+    A column chunk whose dictionary wouldn't make it smaller, as where all ids differ, is delta-encoded by the writer.
+
     All columns of df are written; id_col and int or bigint columns are delta-encoded, strings
     dictionary-encoded. Null ids sort first; null lists and empty ones are kept apart; repeated
     rows are kept. An empty df gives a readable empty table.

@@ -37,7 +37,7 @@ def expanded(rows):
     return out
 
 
-def corpus(n=300, seed=3):
+def corpus(n=160, seed=3):
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(3000)]
     rows = []
@@ -52,18 +52,18 @@ def corpus(n=300, seed=3):
     return rows
 
 
-@pytest.mark.parametrize("small,depth", [(1500, 4), (4, 4), (3, 2)])
+@pytest.mark.parametrize("small,depth", [(1500, 4), (4, 3)])
 def test_against_brute_force(spark, small, depth):
     rows = corpus()
     want = brute(rows)
     got = expanded(jaccard.similar_pairs(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), small=small, depth=depth).collect())
     assert all(want[k] == v for k, v in got.items())
-    assert len(got) >= 0.95 * len(want) > 50
+    assert len(got) >= 0.95 * len(want) > 25
 
 
 def test_many_copies_and_near_copies(spark):
     base = [f"a{i}" for i in range(60)]
-    rows = [(i, " ".join(base)) for i in range(400)] + [(400 + i, " ".join([*base[:-1], f"z{i}"])) for i in range(60)]
+    rows = [(i, " ".join(base)) for i in range(200)] + [(200 + i, " ".join([*base[:-1], f"z{i}"])) for i in range(60)]
     got = expanded(jaccard.similar_pairs(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), small=10).collect())
     assert got == brute(rows)
     kept = jaccard.keep_one_of_each_group(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), small=10)
