@@ -343,7 +343,7 @@ def bud3(s, d):
 @register("bud4_language_split", "SELECT CAST(floor(24000000000 * 0.5) AS BIGINT) // 513 AS first_chunks, (24000000000 - CAST(floor(24000000000 * 0.5) AS BIGINT)) // 513 AS second_chunks")
 def bud4(s, d):
     a, b = P.split_tokens(24_000_000_000, 0.5, 513)
-    return s.range(1).select(F.lit(a).alias("first_chunks"), F.lit(b).alias("second_chunks"))
+    return s.range(1).select(F.lit(a).cast("long").alias("first_chunks"), F.lit(b).cast("long").alias("second_chunks"))
 
 
 @register("bud5_token_quota", f"{_IDW}, p AS (SELECT doc_id, lang, ids, coalesce(sum(len(ids)) OVER (PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before, CASE lang WHEN 'en' THEN 50000 ELSE 9001 END AS quota FROM tok WHERE lang IN ('en', 'fr')) SELECT doc_id, lang, least(len(ids), quota - before) AS kept, array_to_string(ids[1:least(len(ids), quota - before)], ',') AS ids FROM p WHERE before < quota")
