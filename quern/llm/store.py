@@ -8,6 +8,7 @@ machine is of no use to the others.
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -75,6 +76,12 @@ def drop_tables(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver find out now which shuffles nothing refers to any more: their files go. Else they stay until it next collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Bits of the largest sieve; beyond what that serves, joins go without one.
 SIEVE_BITS = 1 << 29
 _PROBES = 3
