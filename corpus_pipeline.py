@@ -40,10 +40,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of tokens: which part of which document comes where."""
+    """Sequences of tokens, and which part of which document comes where."""
     store.small_batches(spark)
     store.drop_tables(spark)
-    return packing.pack(bpe.with_tokens(docs.select("doc_id", "text"), count_col="n_tokens", kind="library", keep=False))
+    return packing.sequences(bpe.with_tokens(docs.select("doc_id", "text"), kind="library"))
 
 
 STAGES = [("language ID", language_id), ("quality rules", quality_rules), ("n-gram Jaccard join", near_copies), ("substring dedup", repeated_passages), ("best-fit packing", packed)]
