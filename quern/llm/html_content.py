@@ -8,8 +8,9 @@ parent is, by dynamic programming from the leaves up: no content under boilerpla
 
 There are no labelled pages, so the trees learn from pages that mark their parts: what lies
 in article or main is content, what lies in nav, footer, aside, header or a script isn't. The
-names of those tags aren't features, so that pages without them can be read too. Fitting
-takes a bounded sample of pages, drawn by a hash (parameter sample).
+names of those tags aren't features, so that pages without them can be read too. Where no page has such
+marks, they learn from rules of text density instead. Fitting
+takes a bounded sample of pages, drawn by a hash (parameters sample and longest); all pages are read whole.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages to learn from, at most; trees, their depth, rate of learning, bins of a feature.
-SAMPLE, TREES, DEPTH, RATE, BINS = 300, 40, 3, 0.2, 32
+#: Pages to learn from, at most, and characters of such a page; trees, their depth, rate of learning, bins of a feature.
+SAMPLE, LONGEST, TREES, DEPTH, RATE, BINS = 300, 200_000, 40, 3, 0.2, 32
 _TOKEN_SLOTS = 16
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
@@ -218,6 +219,15 @@ def marked(forest: Forest) -> tuple[np.ndarray, np.ndarray]:
     return np.where(text > 0, content / np.maximum(text, 1), (good & ~bad).astype(float)), usable
 
 
+def dense(forest: Forest) -> tuple[np.ndarray, np.ndarray]:
+    """What stands in for marks where no page has any: content is text outside links, in blocks of many characters a node that have sentence marks."""
+    text = np.maximum(_sum_up(forest.own, forest.parent, forest.levels), 1)
+    links, per_node, marks = forest.x[:, 2], forest.x[:, 1], forest.x[:, 5]
+    good = (links < 0.3) & (per_node >= 20) & (marks > 0.5)
+    content = _sum_up(np.where(good, forest.own, 0), forest.parent, forest.levels)
+    return content / text, forest.own > 0
+
+
 @dataclass
 class Boosted:
     """Trees of one depth: for each inner node a feature and a threshold, for each leaf a value."""
@@ -243,7 +253,7 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH,
     inner = (1 << depth) - 1
     n, width = x.shape
     if not n:
-        return Boosted(0.0, np.zeros((0, inner), np.int64), np.zeros((0, inner), np.float32), np.zeros((0, inner + 1)))
+        return Boosted(1.0, np.zeros((0, inner), np.int64), np.zeros((0, inner), np.float32), np.zeros((0, inner + 1)))
     edges = np.quantile(x, np.linspace(0, 1, bins + 1)[1:-1], axis=0).astype(np.float32)
     binned = np.column_stack([np.searchsorted(edges[:, j], x[:, j], "left") for j in range(width)])
     mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
@@ -290,13 +300,27 @@ def fit(pages: list[str], **settings: int) -> Boosted:
     """Trees learned from pages that mark their content."""
     forest = features([parse(p) for p in pages])
     share, usable = marked(forest)
+    if not usable.any():
+        share, usable = dense(forest)
     return boost(forest.x[usable], (share[usable] >= 0.5).astype(float), **settings)
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Boosted:
-    """Learn from the pages of the least hashes among those that have an article or main tag and fewer than 200,000 characters: sample pages at most."""
-    rows = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]") & (F.length(html_col) < 200_000)).select(html_col, F.xxhash64(F.col(id_col).cast("string"), F.lit(11)).alias("h"))
-    return fit([r[0] for r in rows.orderBy("h", html_col).limit(sample).collect()])
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE, longest: int = LONGEST) -> Boosted:
+    """Learn from sample pages at most, those of the least hashes among pages of up to longest characters that have an article or main tag.
+
+    Where no page has such a tag, all pages of up to longest characters are candidates, and dense says what is content. Where none
+    is so short, or there are no pages, nothing is learned, and extract takes every text outside hidden elements for
+    content. A narrow count gives a threshold of the hash that leaves about three times the pages wanted, so few are ranked and sent.
+    """
+    h = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(11)), F.lit(1 << 40))
+    rows = pages.where(F.length(html_col).between(1, longest)).select(F.col(html_col).alias("t"), h.alias("h"), F.col(html_col).rlike("(?i)<(article|main)[ >]").alias("marked"))
+    counts = {r["marked"]: r["count"] for r in rows.groupBy("marked").count().collect()}
+    of = True in counts
+    n = counts.get(of, 0)
+    if not n:
+        return fit([])
+    share = (1 << 40) if n <= 3 * sample else int((1 << 40) * 3 * sample / n)
+    return fit([r[0] for r in rows.where((F.col("marked") == of) & (F.col("h") <= share)).orderBy("h", "t").limit(sample).select("t").collect()])
 
 
 def contents(pages: list[str], model: Boosted) -> list[tuple[str, int, int]]:

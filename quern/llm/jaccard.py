@@ -1,38 +1,45 @@
 """N-gram Jaccard self-join by chosen paths.
 
-A document's set of word n-grams is embedded into SLOTS MinHash values. A run splits
+A document's set of word n-grams is embedded into MinHash values (slots). A run splits
 all sets on a few sampled slots: sets that share the value of a sampled slot go into the
 same bucket, and each bucket samples slots anew, from a hash of its path. A set follows
 ceil(1 / threshold) branches at each level, so that a pair at the threshold stays together
 on one branch or more on average. Buckets that have become small are compared by brute
 force, with exact Jaccard similarities of the n-gram sets. Runs are repeated until a pair
-at the threshold has been together in some small bucket with the target probability.
+at the threshold has been together in some small bucket with the target probability; slots are
+four times as many as all runs sample at their first level, or more.
 
 At 100 TB: what is shuffled for the search is a few narrow keys (16 bytes) for each
 distinct set and run; n-gram sets travel only for documents that share a bucket, once per
 distinct list of members. Equal sets are collapsed beforehand, so thousands of copies cost
 one row each. A bucket that stays large at the deepest level is compared block against
-block, which is exact and bounds what one task holds.
+block, which is exact and bounds what one task holds; its cost is the square of its distinct sets.
+Pairs are counted where they are found and never leave their task; a spanning forest does.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quern.llm import kernels as K
 from quern.llm import store
 
 #: Words in an n-gram; least Jaccard similarity; chance that a pair at the threshold is found.
 N, THRESHOLD, RECALL = 3, 0.5, 0.99
-#: MinHash values kept of each set; sets compared by brute force at once; levels at most.
+#: MinHash values kept of each set at least; sets compared by brute force at once; levels at most.
 SLOTS, SMALL, DEPTH = 64, 1500, 4
+#: n-grams of all sets compared at once, about; a set may have more.
+GRAMS = 4 << 20
+
+
+_SET = ["s1", "s2", "size"]
 
 
 def gram_sets(buf: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,12 +61,12 @@ def gram_sets(buf: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return g, np.searchsorted(row, np.arange(rows + 1))
 
 
-def sketch(g: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row that has grams, by its place: MinHash values (rows, SLOTS) and two sums that tell sets apart."""
+def sketch(g: np.ndarray, first: np.ndarray, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row that has grams, by its place: MinHash values (rows, slots) and two sums that tell sets apart."""
     full = np.flatnonzero(np.diff(first) > 0)
     at = first[full]
-    sig = np.zeros((len(full), SLOTS), np.uint32)
-    for j in range(SLOTS if len(full) else 0):
+    sig = np.zeros((len(full), slots), np.uint32)
+    for j in range(slots if len(full) else 0):
         h = (g ^ K.seed(j)) * np.uint64(0x9E3779B97F4A7C15)
         sig[:, j] = np.minimum.reduceat(h ^ (h >> np.uint64(29)), at) >> np.uint64(20) & np.uint64(0xFFFFFFFF)
     if not len(full):
@@ -73,34 +80,66 @@ def runs_needed(threshold: float, recall: float, depth: int = DEPTH) -> int:
     branches = math.ceil(1 / threshold)
     for _ in range(depth):
         missed = (1 - threshold * (1 - missed)) ** branches
-    return 1 if missed <= 0 else min(SLOTS // branches, max(1, math.ceil(math.log(1 - recall) / math.log(missed))))
+    return 1 if missed <= 0 else max(1, math.ceil(math.log(1 - recall) / math.log(missed)))
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """Branches of a path, runs, slots, and how many slots two sets must have in common to be compared."""
+
+    branches: int
+    runs: int
+    slots: int
+    least: int
+
+
+def scheme(threshold: float, recall: float, depth: int = DEPTH) -> Scheme:
+    """What finds a pair at the threshold with probability recall or more.
+
+    Pairs of a bucket that have fewer than least slots in common aren't compared; that loses a
+    tenth of 1 - recall at most, and the runs make up for it.
+    """
+    if not 0 < threshold <= 1 or not 0 < recall < 1:
+        raise ValueError("threshold lies in (0, 1], recall in (0, 1)")
+    branches, slots = math.ceil(1 / threshold), SLOTS
+    while True:
+        least, lost, chance = 0, 0.0, (1 - threshold) ** slots
+        while least < slots and lost + chance <= (1 - recall) / 10:
+            lost += chance
+            chance *= (slots - least) / (least + 1) * threshold / (1 - threshold) if threshold < 1 else 0
+            least += 1
+        runs = runs_needed(threshold, recall + lost, depth)
+        if 4 * runs * branches <= slots:  # runs that share few slots would fail together
+            return Scheme(branches, runs, slots, max(1, least))
+        slots *= 2
 
 
 def _children(path: np.ndarray, sig: np.ndarray, branches: int) -> list[np.ndarray]:
     """Paths one level deeper: each path samples its own slots."""
     out = []
-    start = (K.mix(path ^ K.seed(500)) % np.uint64(SLOTS)).astype(np.int64)
-    step = 1 + 2 * (K.mix(path ^ K.seed(501)) % np.uint64(SLOTS // 2)).astype(np.int64)
+    slots = sig.shape[1]
+    start = (K.mix(path ^ K.seed(500)) % np.uint64(slots)).astype(np.int64)
+    step = 1 + 2 * (K.mix(path ^ K.seed(501)) % np.uint64(slots // 2)).astype(np.int64)
     row = np.arange(len(path))
     for b in range(branches):
-        slot = (start + b * step) % SLOTS
-        out.append(K.mix(path + K.mix(sig[row, slot].astype(np.uint64) * np.uint64(SLOTS) + slot.astype(np.uint64) + np.uint64(1))))
+        slot = (start + b * step) % slots
+        out.append(K.mix(path + K.mix(sig[row, slot].astype(np.uint64) * np.uint64(slots) + slot.astype(np.uint64) + np.uint64(1))))
     return out
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
+def _signatures(column: pa.Array, slots: int) -> np.ndarray:
     if not len(column):
-        return np.zeros((0, SLOTS), np.uint32)
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), SLOTS)
+        return np.zeros((0, slots), np.uint32)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), slots)
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, slots: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, off = K.utf8(batch.column(1))
             for lo, hi in K.blocks(off):
                 g, first = gram_sets(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], n)
-                full, sig, sums = sketch(g, first)
+                full, sig, sums = sketch(g, first, slots)
                 sums = sums.view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo).take(pa.array(full)), pa.array(sums[:, 0]), pa.array(sums[:, 1]), pa.array(np.diff(first)[full].astype(np.int32)), pa.array([s.tobytes() for s in sig], pa.binary())],
@@ -110,34 +149,36 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("t")).mapInArrow(run, "id long, s1 long, s2 long, size int, sig binary")
 
 
-def _first_paths(reps: DataFrame, runs: int, branches: int) -> DataFrame:
+def _first_paths(reps: DataFrame, how: Scheme) -> DataFrame:
     """Paths of the first two levels, which every set follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = _signatures(batch.column(1))
+            sig = _signatures(batch.column(1), how.slots)
             paths = []
-            for r in range(runs):
-                for b in range(branches):
-                    slot = (r * branches + b) % SLOTS
-                    p = K.mix(sig[:, slot].astype(np.uint64) * np.uint64(SLOTS) + np.uint64(slot) + K.seed(1000 + r))
-                    paths += _children(p, sig, branches)
+            for r in range(how.runs):
+                for b in range(how.branches):
+                    slot = r * how.branches + b
+                    p = K.mix(sig[:, slot].astype(np.uint64) * np.uint64(how.slots) + np.uint64(slot) + K.seed(1000 + r))
+                    paths += _children(p, sig, how.branches)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(paths).view(np.int64)), pa.array(np.tile(batch.column(0).to_numpy(), len(paths)))], ["path", "id"])
 
     return reps.select("id", "sig").mapInArrow(run, "path long, id long")
 
 
-def _deeper(rows: DataFrame, branches: int) -> DataFrame:
+def _deeper(rows: DataFrame, how: Scheme) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = _children(batch.column(0).to_numpy().view(np.uint64), _signatures(batch.column(2)), branches)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(paths).view(np.int64)), pa.array(np.tile(batch.column(1).to_numpy(), branches))], ["path", "id"])
+            paths = _children(batch.column(0).to_numpy().view(np.uint64), _signatures(batch.column(2), how.slots), how.branches)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(paths).view(np.int64)), pa.array(np.tile(batch.column(1).to_numpy(), how.branches))], ["path", "id"])
 
     return rows.select("path", "id", "sig").mapInArrow(run, "path long, id long")
 
 
 def _counted(paths: DataFrame) -> DataFrame:
-    return paths.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("path"))).where("members > 1")
+    """paths with members, of those that more than one set follows. Counts are summed up before they are shuffled; AQE splits a path of many."""
+    counts = paths.groupBy("path").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return paths.join(counts, "path")
 
 
 def similar_in(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -168,18 +209,16 @@ def similar_in(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np
     return a[good], b[good], inter[good], union[good]
 
 
-def _lists(reps: DataFrame, threshold: float, runs: int, small: int, depth: int) -> DataFrame:
-    """Distinct lists of sets that some bucket has together: list_id, id."""
-    branches = math.ceil(1 / threshold)
-    sig = reps.select("id", "sig")
-    at = store.table(_counted(_first_paths(reps, runs, branches)), "paths")
+def _lists(reps: DataFrame, how: Scheme, small: int, depth: int) -> DataFrame:
+    """Distinct lists of sets that some bucket has together: list_id, ids."""
+    at = store.table(_counted(_first_paths(reps, how)), "paths")
     parts = [at.where(F.col("members") <= small)]
     level = 2
     while level < depth:
         over = at.where(F.col("members") > small)
         if over.isEmpty():
             break
-        at = store.table(_counted(_deeper(over.join(sig, "id"), branches)), "paths")
+        at = store.table(_counted(_deeper(over.join(reps.select("id", "sig"), "id"), how)), "paths")
         parts.append(at.where(F.col("members") <= small))
         level += 1
     whole = parts[0]
@@ -188,39 +227,46 @@ def _lists(reps: DataFrame, threshold: float, runs: int, small: int, depth: int)
     lists = whole.groupBy("path").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     over = at.where(F.col("members") > small)
     if not over.isEmpty():
-        half = max(1, small // 2)
-        ranked = over.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("path").orderBy("id")) - 1) / half))
-        last = F.floor((F.col("members") - 1) / half)
-        pairs = ranked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).where("other != block")
-        lists = lists.unionByName(pairs.groupBy("path", F.least("block", "other"), F.greatest("block", "other")).agg(F.sort_array(F.collect_list("id")).alias("ids")).select("path", "ids"))
+        blocks = F.ceil(F.col("members") / max(1, small // 2))
+        ranked = over.withColumn("block", F.pmod(F.xxhash64("id", "path"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).where("other != block")
+        lists = lists.unionByName(ranked.groupBy("path", F.least("block", "other"), F.greatest("block", "other")).agg(F.sort_array(F.collect_list("id")).alias("ids")).select("path", "ids"))
     lists = lists.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
-    return _likely(lists, sig, threshold)
+    return _likely(lists, reps, how)
+
+
+def in_blocks(size: np.ndarray, most: int) -> list[np.ndarray]:
+    """Places of sets so that each two are together in one part, and a part has most n-grams in all, or two blocks of which one is a single set."""
+    block = (np.cumsum(size) - size) // max(1, most // 2)
+    cut = np.split(np.arange(len(size)), np.flatnonzero(np.diff(block)) + 1)
+    if len(cut) <= 2:
+        return [np.arange(len(size))]
+    return [np.concatenate([cut[i], cut[j]]) for j in range(len(cut)) for i in range(j)]
 
 
-def _likely(lists: DataFrame, sig: DataFrame, threshold: float) -> DataFrame:
-    """What lists connect after pairs whose signatures disagree too much (three standard deviations) are dropped: the lists of sets worth comparing."""
-    least = max(1, math.floor(SLOTS * threshold - 3 * math.sqrt(SLOTS * threshold * (1 - threshold))))
-    members = lists.select("list_id", F.explode("ids").alias("id")).join(sig, "id").groupBy("list_id").agg(F.collect_list(F.struct("id", "sig")).alias("m")).select("m")
+def _likely(lists: DataFrame, reps: DataFrame, how: Scheme, most: int = GRAMS) -> DataFrame:
+    """What lists connect after pairs with fewer than how.least slots in common are dropped: lists of sets worth comparing, cut up where they have more than most n-grams."""
+    members = lists.select("list_id", F.explode("ids").alias("id")).join(reps.select("id", "size", "sig"), "id").groupBy("list_id").agg(F.collect_list(F.struct("id", "size", "sig")).alias("m")).select("m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = batch.column(0)
             bounds = m.offsets.to_numpy()
-            ids = m.values.field(0).to_numpy()
-            sigs = _signatures(m.values.field(1))
+            ids, size = (m.values.field(i).to_numpy() for i in range(2))
+            sigs = _signatures(m.values.field(2), how.slots)
             out: list[np.ndarray] = []
             for lo, hi in zip(bounds[:-1], bounds[1:]):
-                agree = np.zeros((hi - lo, hi - lo), np.uint8)
-                for j in range(SLOTS):
+                agree = np.zeros((hi - lo, hi - lo), np.uint16)
+                for j in range(how.slots):
                     v = sigs[lo:hi, j]
                     agree += v[:, None] == v[None, :]
-                a, b = np.nonzero(np.triu(agree >= least, 1))
+                a, b = np.nonzero(np.triu(agree >= how.least, 1))
                 if not len(a):
                     continue
                 root = _roots(a, b, hi - lo)
                 order = np.lexsort((ids[lo:hi], root))
-                cut = np.flatnonzero(np.diff(root[order])) + 1
-                out += [g for g in np.split(ids[lo:hi][order], cut) if len(g) > 1]
+                for g in np.split(lo + order, np.flatnonzero(np.diff(root[order])) + 1):
+                    if len(g) > 1:
+                        out += [np.sort(ids[g[part]]) for part in in_blocks(size[g].astype(np.int64), most)]
             first = np.concatenate([[0], np.cumsum([len(g) for g in out])]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([K.lists(np.concatenate(out) if out else np.zeros(0, np.int64), first, pa.int64())], ["ids"])
 
@@ -228,18 +274,21 @@ def _likely(lists: DataFrame, sig: DataFrame, threshold: float) -> DataFrame:
     return found.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
 
 
-def _sketched(docs: DataFrame, id_col: str, text_col: str, n: int) -> tuple[DataFrame, DataFrame]:
-    """Every document that has words, with the size of its set and the least id that has the same one; and each distinct set's least id and signature."""
-    rows = _sketches(docs, id_col, text_col, n).groupBy("id").agg(F.min(F.struct("s1", "s2", "size", "sig")).alias("x"))
+def _sketched(docs: DataFrame, id_col: str, text_col: str, n: int, slots: int) -> tuple[DataFrame, DataFrame]:
+    """Every document that has words, with its set's sums and size; and each distinct set's least id, sums, size, signature and number of documents."""
+    rows = _sketches(docs, id_col, text_col, n, slots).groupBy("id").agg(F.min(F.struct("s1", "s2", "size", "sig")).alias("x"))
     rows = store.table(rows.select("id", "x.*"), "sketches")
-    best = rows.groupBy("s1", "s2", "size").agg(F.min(F.struct("id", "sig")).alias("x"))
-    best = store.table(best.select("s1", "s2", "size", F.col("x.id").alias("rep"), "x.sig"), "reps")
-    copies = rows.select("id", "s1", "s2", "size").join(best.select("s1", "s2", "size", "rep"), ["s1", "s2", "size"])
-    return copies.select("id", "rep", "size"), best.select(F.col("rep").alias("id"), "sig")
+    best = rows.groupBy("s1", "s2", "size").agg(F.min(F.struct("id", "sig")).alias("x"), F.count(F.lit(1)).alias("copies"))
+    return rows.select("id", *_SET), store.table(best.select("x.id", *_SET, "x.sig", "copies"), "reps")
 
 
-def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n: int, threshold: float, forest: bool) -> DataFrame:
-    """Pairs of sets (a < b) with their intersection and union; with forest, only pairs that connect what each list connects."""
+def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n: int, threshold: float, give: str) -> DataFrame:
+    """What similar sets there are, by give.
+
+    'pairs': pairs of sets (doc_a < doc_b), with intersection and union; 'forest': only pairs that
+    connect what each list connects; 'links': the forest, and rows without doc_b that have in
+    shared how many sets doc_a is similar to, in parts to be summed up.
+    """
     lists = store.table(lists, "lists")
     wanted = lists.select("list_id", F.explode("ids").alias("id")).groupBy("id").agg(F.sort_array(F.collect_list("list_id")).alias("in_lists"))
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("t"))
@@ -268,6 +317,7 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
             lf, gf = lists_.offsets.to_numpy(), grams.offsets.to_numpy()
             lv, gv = lists_.values.to_numpy(), grams.values.to_numpy().view(np.uint64)
             out: list[list[np.ndarray]] = [[], [], [], []]
+            counts: list[tuple[np.ndarray, np.ndarray]] = []
             for i, me in enumerate(ids):
                 at = np.arange(bounds[i], bounds[i + 1])
                 at = at[np.lexsort((s1[at], doc[at]))]
@@ -275,17 +325,29 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
                 if len(at) < 2:
                     continue
                 a, b, inter, union = similar_in([gv[gf[j] : gf[j + 1]] for j in at], threshold)
-                if forest:
-                    take = _forest(a, b, len(at))
-                else:
-                    # A pair is given by the least list that both are in.
+                tree = _forest(a, b, len(at)) if give != "pairs" else np.zeros(len(a), bool)
+                if give != "forest":
+                    # A pair is given, or counted, by the least list that both are in.
                     seen = [set(lv[lf[j] : lf[j + 1]].tolist()) for j in at]
-                    take = np.array([min(seen[x] & seen[y]) == me for x, y in zip(a.tolist(), b.tolist())], bool)
-                a, b, inter, union = a[take], b[take], inter[take], union[take]
+                    if all(len(x) == 1 for x in seen):
+                        own = np.ones(len(a), bool)
+                    else:
+                        own = np.array([min(seen[x] & seen[y]) == me for x, y in zip(a.tolist(), b.tolist())], bool)
+                    if give == "pairs":
+                        tree = own
+                    else:
+                        count = np.bincount(np.concatenate([a[own], b[own]]), minlength=len(at))
+                        has = np.flatnonzero(count)
+                        counts.append((doc[at[has]], count[has]))
+                a, b, inter, union = a[tree], b[tree], inter[tree], union[tree]
                 for k, v in enumerate((doc[at[a]], doc[at[b]], inter, union)):
                     out[k].append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out], ["doc_a", "doc_b", "shared", "total"])
+            if counts:
+                one, n_ = (np.concatenate(v).astype(np.int64) for v in zip(*counts))
+                none = pa.nulls(len(one), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(one), none, pa.array(n_), none], ["doc_a", "doc_b", "shared", "total"])
 
     return groups.mapInArrow(compare, "doc_a long, doc_b long, shared long, total long")
 
@@ -329,20 +391,43 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies (of doc_b: true where both have one and the same set). Documents with equal sets
     are represented by the least id among them: each other one is paired with it, as a copy,
     and only the representatives are paired with other sets. All pairs follow from these rows.
+    Near copies of one text give as many rows as they have pairs; similar_classes doesn't.
 
     Words are those of kernels.py, lower-cased. A document of fewer than n words has one
     n-gram, all its words. Documents with a null id, a null or empty text, or no words are in
-    no pair. Rows that repeat an id count as one document: it has the least representative of
-    its rows and the set of one of them; it isn't paired with itself. An empty table gives an
+    no pair. Rows that repeat an id count as one document: it has the least set of
+    its rows; it isn't paired with itself. An empty table gives an
     empty one. Other columns are ignored. Similarities are exact; a pair at the threshold is found
-    with probability recall or more, a closer one with a greater one.
+    with probability recall or more, a closer one with a greater one. The number of runs and of MinHash values
+    follows from threshold and recall (see scheme), so low thresholds cost more.
     """
-    copies, reps = _sketched(docs, id_col, text_col, n)
-    near = _compared(docs, _lists(reps, threshold, runs_needed(threshold, recall, depth), small, depth), id_col, text_col, n, threshold, forest=False)
-    same = copies.where("id != rep").select(F.col("rep").alias("doc_a"), F.col("id").alias("doc_b"), F.col("size").cast("long").alias("shared"), F.col("size").cast("long").alias("total"), F.lit(True).alias("copies"))
+    how = scheme(threshold, recall, depth)
+    rows, reps = _sketched(docs, id_col, text_col, n, how.slots)
+    near = _compared(docs, _lists(reps, how, small, depth), id_col, text_col, n, threshold, "pairs")
+    same = rows.join(reps.where("copies > 1").select(F.col("id").alias("rep"), *_SET), _SET).where("id != rep")
+    same = same.select(F.col("rep").alias("doc_a"), F.col("id").alias("doc_b"), F.col("size").cast("long").alias("shared"), F.col("size").cast("long").alias("total"), F.lit(True).alias("copies"))
     return near.withColumn("copies", F.lit(False)).unionByName(same).select("doc_a", "doc_b", "shared", "total", (F.col("shared") / F.col("total")).alias("jaccard"), "copies")
 
 
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
+    """One row for each document that has a copy or a link: doc_id, class_id, rep, copies and n_links.
+
+    Two documents are linked if their sets of word n-grams are similar (see similar_pairs, which
+    has the same rules for words, nulls, repeated ids and recall). rep is the least id with the
+    same set, copies how many documents have it, n_links how many other sets are similar to it.
+    class_id is the least id that is connected with the document by links and copies. Rows grow with the documents,
+    however many pairs a class has.
+    """
+    how = scheme(threshold, recall, depth)
+    rows, reps = _sketched(docs, id_col, text_col, n, how.slots)
+    found = store.table(_compared(docs, _lists(reps, how, small, depth), id_col, text_col, n, threshold, "links"), "links")
+    classes = components(found.where("doc_b IS NOT NULL").select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")))
+    links = found.where("doc_b IS NULL").groupBy(F.col("doc_a").alias("rep")).agg(F.sum("shared").alias("n_links"))
+    sets = reps.select(F.col("id").alias("rep"), *_SET, "copies").join(links, "rep", "left").join(classes.select(F.col("a").alias("rep"), "label"), "rep", "left")
+    sets = sets.where("copies > 1 OR n_links > 0").withColumn("class_id", F.coalesce("label", "rep")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    return rows.join(sets, _SET).select(F.col("id").alias("doc_id"), "class_id", "rep", "copies", "n_links")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): node and the least node of its component, for nodes that have an edge.
 
@@ -367,10 +452,12 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     A group is a connected component of similar pairs and of equal sets; the least id stays.
     Rows with a null id or without words stay. Rows that repeat an id stay or go together.
     """
-    copies, reps = _sketched(docs, id_col, text_col, n)
-    near = _compared(docs, _lists(reps, threshold, runs_needed(threshold, recall, depth), small, depth), id_col, text_col, n, threshold, forest=True)
+    how = scheme(threshold, recall, depth)
+    rows, reps = _sketched(docs, id_col, text_col, n, how.slots)
+    near = _compared(docs, _lists(reps, how, small, depth), id_col, text_col, n, threshold, "forest")
     groups = components(store.table(near.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), "forest"))
-    gone = copies.where("id != rep").select("id").unionByName(groups.where("a != label").select(F.col("a").alias("id")))
+    same = rows.join(reps.where("copies > 1").select(F.col("id").alias("rep"), *_SET), _SET).where("id != rep")
+    gone = same.select("id").unionByName(groups.where("a != label").select(F.col("a").alias("id")))
     gone = store.table(gone.distinct(), "gone")
     maybe = F.coalesce(store.sieve(gone)(docs[id_col]), F.lit(False)) & docs[id_col].isNotNull()
     return docs.where(~maybe).unionByName(docs.where(maybe).join(gone.select(F.col("id").alias("__gone")), docs[id_col].cast("long") == F.col("__gone"), "left_anti"))

@@ -25,15 +25,14 @@ from pyspark.sql.window import Window
 
 from quern.llm import kernels as K
 
-#: Labelled texts of each language, at most, and their least and greatest length in characters.
+#: Labelled texts of each language, at most, and the least and greatest length in characters that is looked for first.
 SAMPLE, SHORTEST, LONGEST = 240, 200, 20_000
 #: Landmarks of each language; ridge.
 LANDMARKS, RIDGE = 32, 1e-2
 #: A text is rejected if another language's score exceeds that of its label by more than this.
 MARGIN = 0.5
 #: Texts in one matrix product.
-_ROWS = 512
-_CODES = 1 << 24
+_ROWS = 64
 
 
 def _codes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,6 +41,20 @@ def _codes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return b, two, (two[:-1] << 8) | b[2:] if len(b) > 2 else np.zeros(0, np.int32)
 
 
+class Places:
+    """The column of an n-gram, or none, by two small tables: its bytes but the last give a row of the second."""
+
+    def __init__(self, grams: np.ndarray, n: int, base: int, none: int) -> None:
+        heads, which = np.unique(grams >> 8, return_inverse=True)
+        self.row = np.full(1 << 8 * (n - 1), len(heads), np.int32)
+        self.row[heads] = np.arange(len(heads))
+        self.column = np.full((len(heads) + 1, 256), none, np.int32)
+        self.column[which, grams & 255] = base + np.arange(len(grams))
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        return self.column[self.row[codes >> 8], codes & 255]
+
+
 @dataclass
 class Model:
     """languages; n-grams of each length, sorted; landmarks by n-gram, with rows of unit length; weights of phi for each language."""
@@ -51,17 +64,15 @@ class Model:
     landmarks: np.ndarray
     weights: np.ndarray
 
-    def tables(self) -> list[np.ndarray]:
+    def tables(self) -> list[Places]:
         """For each length, the column of an n-gram, or the column past the last."""
         out, base, none = [], 0, sum(map(len, self.grams))
-        for g, n in zip(self.grams, (1 << 8, 1 << 16, _CODES)):
-            t = np.full(n, none, np.int32)
-            t[g] = base + np.arange(len(g))
+        for n, g in enumerate(self.grams, 1):
+            out.append(Places(g, n, base, none))
             base += len(g)
-            out.append(t)
         return out
 
-    def presence(self, buf: np.ndarray, off: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+    def presence(self, buf: np.ndarray, off: np.ndarray, tables: list[Places]) -> np.ndarray:
         """Rows by n-grams: 1 where a text has it."""
         rows = len(off) - 1
         width = sum(map(len, self.grams))
@@ -80,7 +91,7 @@ class Model:
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
         return (present @ self.landmarks.T) / norm
 
-    def scores(self, buf: np.ndarray, off: np.ndarray, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def scores(self, buf: np.ndarray, off: np.ndarray, tables: list[Places]) -> tuple[np.ndarray, np.ndarray]:
         """Scores by language, and how many known n-grams each text has."""
         present = self.presence(buf, off, tables)
         return self.kernel(present) @ self.weights, present.sum(axis=1)
@@ -116,23 +127,27 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
     return model
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on at most sample rows of each label whose length is within SHORTEST and LONGEST: those of the least hashes.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = RIDGE, shortest: int = SHORTEST, longest: int = LONGEST) -> Model:
+    """Fit on at most sample rows of each label: those of the least hashes among texts of shortest to longest characters.
 
-    The sample costs a narrow count and one filtered scan: a hash threshold, from the counts, leaves
-    about three times the rows that are wanted before any of them is ranked.
+    A label that has no such text is learned from others of it, cut to longest characters; one that has only empty or null texts
+    isn't learned, and identify then gives its documents no label_score. The sample costs a narrow count and one filtered scan: a hash threshold, from
+    the counts, leaves about three times the rows that are wanted before any of them is ranked.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.length(text_col).between(SHORTEST, LONGEST)).select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("t"), F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(1 << 40)).alias("h"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    fits = F.length(text_col).between(shortest, longest)
+    rows = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).alias("lang"), fits.alias("fits"), F.col(text_col).alias("t"), F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.lit(1 << 40)).alias("h"))
+    counts = {r["lang"]: (r["n"], bool(r["fits"])) for r in rows.groupBy("lang").agg(F.coalesce(F.sum(F.col("fits").cast("long")), F.lit(0)).alias("f"), F.count(F.lit(1)).alias("m")).select("lang", F.when(F.col("f") > 0, F.col("f")).otherwise(F.col("m")).alias("n"), (F.col("f") > 0).alias("fits")).collect()}
     if not counts:
         return fit([], [])
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, (1 << 40) if n <= 3 * sample else int((1 << 40) * 3 * sample / n))])[F.col("lang")]
+    share = F.create_map(*[F.lit(x) for lang, (n, _) in counts.items() for x in (lang, (1 << 40) if n <= 3 * sample else int((1 << 40) * 3 * sample / n))])[F.col("lang")]
+    only = F.create_map(*[F.lit(x) for lang, (_, has) in counts.items() for x in (lang, has)])[F.col("lang")]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))
-    got = rows.where(F.col("h") <= share).withColumn("rank", rank).where(F.col("rank") <= sample).orderBy("lang", "rank").select("lang", "t").collect()
+    some = rows.where((F.col("h") <= share) & (F.col("fits") | ~only)).select("lang", "h", F.lower(F.substring("t", 1, longest)).alias("t"))
+    got = some.withColumn("rank", rank).where(F.col("rank") <= sample).orderBy("lang", "rank").select("lang", "t").collect()
     return fit([r["t"] for r in got], [r["lang"] for r in got], landmarks, ridge)
 
 
-def _judge(model: Model, tables: list[np.ndarray], text: pa.Array, label: pa.Array, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _judge(model: Model, tables: list[Places], text: pa.Array, label: pa.Array, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each text: best language (-1 if none of its n-grams is known), its score, the score of the label (nan if unknown), and whether it is accepted."""
     n = len(text)
     best, score, own = np.full(n, -1, np.int64), np.zeros(n), np.full(n, np.nan)

@@ -52,7 +52,7 @@ def _table(counts: bytes, symbols: bytes) -> list[int]:
 
 
 def _segments(raw: bytes) -> Iterator[tuple[int, bytes, int]]:
-    """Marker, its content and where it ends, up to the scan."""
+    """Marker, its content and where it ends, over all scans; what is entropy-coded is passed over."""
     if raw[:2] != b"\xff\xd8":
         raise BadJpeg("no JPEG")
     at = 2
@@ -66,6 +66,15 @@ def _segments(raw: bytes) -> Iterator[tuple[int, bytes, int]]:
             raise BadJpeg("cut off")
         yield marker, raw[at + 4 : at + 2 + size], at + 2 + size
         at += 2 + size
+        while marker == 0xDA:
+            at = raw.find(b"\xff", at)
+            if at < 0 or at + 1 >= len(raw):
+                raise BadJpeg("scan")
+            if raw[at + 1] and not 0xD0 <= raw[at + 1] <= 0xD7 and raw[at + 1] != 0xFF:
+                break
+            at += 1 + (raw[at + 1] != 0xFF)
+        if marker == 0xDA and raw[at + 1] == 0xD9:
+            raise BadJpeg("scan")
 
 
 def _intervals(raw: bytes, at: int) -> list[bytes]:
@@ -87,8 +96,21 @@ def _intervals(raw: bytes, at: int) -> list[bytes]:
             begin = at
 
 
+#: Bytes of a scan that are laid out at once, and more of them than a block can have.
+_AHEAD, _BLOCK = 1 << 16, 512
+
+
+def _windows(part: bytes, base: int) -> list[int]:
+    """The 32 bits that begin with each byte from base on, as far as the next blocks reach."""
+    b = np.frombuffer(part, np.uint8, min(_AHEAD + _BLOCK, len(part) - base), base).astype(np.int64)
+    return ((b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]).tolist()
+
+
 def decode_dc(raw: bytes) -> tuple[int, int, int, np.ndarray]:
-    """Width, height, components and thumbnail (rows of blocks of luminance means, 0 to 255) of a baseline JPEG."""
+    """Width, height, components and thumbnail (rows of blocks of luminance means, 0 to 255) of a baseline JPEG.
+
+    The first scan that has the first component is read: one of all components, interleaved, or its own.
+    """
     quant: dict[int, int] = {}
     huffman: dict[int, list[int]] = {}
     frame, interval, scan, start = None, 0, b"", 0
@@ -122,31 +144,41 @@ def decode_dc(raw: bytes) -> tuple[int, int, int, np.ndarray]:
         elif marker == 0xDD:
             interval = int.from_bytes(body[:2], "big")
         elif marker == 0xDA:
-            scan, start = body, end
-            break
-    if frame is None or len(scan) < 1 + 2 * len(frame) + 3 or scan[0] != len(frame):
-        raise BadJpeg("scan")
-    by_id = {scan[1 + 2 * i]: scan[2 + 2 * i] for i in range(scan[0])}
-    if len(frame) == 1:
-        frame = [(frame[0][0], 1, 1, frame[0][3])]
+            if frame is None or not body or len(body) < 1 + 2 * body[0] + 3:
+                raise BadJpeg("scan")
+            if frame[0][0] in body[1 : 1 + 2 * body[0] : 2]:
+                scan, start = body, end
+                break
     hmax, vmax = max(f[1] for f in frame), max(f[2] for f in frame)
-    across, down = -(-width // (8 * hmax)), -(-height // (8 * vmax))
-    plan: list[tuple[int, list[int], list[int]]] = []  # component, DC and AC table of each block of a unit
-    for c, (ident, h, v, _) in enumerate(frame):
-        which = by_id.get(ident, -1)
+    _, h, v, table = frame[0]
+    rows, cols = -(-height * v // (8 * vmax)), -(-width * h // (8 * hmax))
+    by_id = {f[0]: f for f in frame}
+    own = [(scan[1 + 2 * i], scan[2 + 2 * i]) for i in range(scan[0])]
+    if any(ident not in by_id for ident, _ in own):
+        raise BadJpeg("scan")
+    if len(own) == 1:  # a component of its own comes block by block
+        h = v = 1
+        across, down = cols, rows
+    else:
+        across, down = -(-width // (8 * hmax)), -(-height // (8 * vmax))
+    plan: list[tuple[int, list[int], list[int]]] = []  # 0 for the first component, DC and AC table of each block of a unit
+    for c, (ident, which) in enumerate(own):
         dc, ac = huffman.get(which >> 4), huffman.get(16 | which & 15)
-        if which < 0 or dc is None or ac is None:
+        if dc is None or ac is None:
             raise BadJpeg("table missing")
-        plan += [(c, dc, ac)] * (h * v)
+        plan += [(0 if ident == frame[0][0] else c + 1, dc, ac)] * (1 if len(own) == 1 else by_id[ident][1] * by_id[ident][2])
     found: list[int] = []
     units, done = across * down, 0
     for part in _intervals(raw, start):
-        b = np.frombuffer(part + bytes(8), np.uint8).astype(np.int64)
-        window = ((b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]).tolist()
-        bits, p = 8 * len(part), 0
-        last = [0] * len(frame)
+        part += bytes(8)
+        bits, p, base = 8 * (len(part) - 8), 0, 0
+        window = _windows(part, 0)
+        last = [0] * (len(own) + 1)
         for _ in range(min(interval or units, units - done)):
             for c, dc, ac in plan:
+                if p >> 3 >= _AHEAD:
+                    base, bits, p = base + (p >> 3), bits - (p >> 3 << 3), p & 7
+                    window = _windows(part, base)
                 e = dc[window[p >> 3] >> (16 - (p & 7)) & 0xFFFF]
                 size = e & 255
                 if not e or size > 11:
@@ -178,11 +210,9 @@ def decode_dc(raw: bytes) -> tuple[int, int, int, np.ndarray]:
             done += 1
     if done < units:
         raise BadJpeg("cut off")
-    _, h, v, table = frame[0]
     if table not in quant:
         raise BadJpeg("table missing")
     grid = np.array(found, np.int64).reshape(down, across, v, h).transpose(0, 2, 1, 3).reshape(down * v, across * h)
-    rows, cols = -(-height * v // (8 * vmax)), -(-width * h // (8 * hmax))
     return width, height, len(frame), np.clip(np.floor(grid[:rows, :cols] * quant[table] / 8 + 128.5), 0, 255).astype(np.uint8)
 
 
@@ -213,7 +243,7 @@ def with_thumbnails(df: DataFrame, id_col: str = "id", image_col: str = "image")
     What isn't a complete baseline JPEG (progressive ones, other bytes, an empty image) has a reason in
     error and null elsewhere; a null image has null everywhere. Ids may be null or repeat; rows
     are handled each on its own; an empty table gives an empty one; other columns are ignored.
-    Images of any size are read whole.
+    Images of any size are read whole; of a scan, a part is laid out at a time.
     """
     kind = df.schema[id_col].dataType.simpleString()
     src = df.select(F.col(id_col).alias("id"), F.col(image_col).alias("image"))

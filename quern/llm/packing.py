@@ -7,7 +7,7 @@ first, where it fits best. Documents longer than a sequence give whole sequences
 and the rest of them is packed like a short one.
 
 The histogram is counted over all rows and has one row for each bin. Packing itself runs in
-shards of about SHARD_ROWS rows, by a hash, so that tasks stay of one size at any scale; all shards
+shards, by a hash, so that tasks stay of one size at any scale; all shards
 use the fitted mix.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from quern.llm import store
 
-#: Tokens of a sequence; tokens of a bin; documents in a pattern at most; rows in a shard.
-CAPACITY, BIN, PARTS, SHARD_ROWS = 2048, 32, 4, 200_000
+#: Tokens of a sequence; tokens of a bin; documents in a pattern at most; rows in a shard that packs lengths, tokens in one that packs token lists.
+CAPACITY, BIN, PARTS, SHARD_ROWS, SHARD_TOKENS = 2048, 32, 4, 200_000, 2 << 20
 
 
 def patterns(bins: int, parts: int = PARTS) -> np.ndarray:
@@ -159,6 +159,49 @@ def pack_shard(length: np.ndarray, mix: np.ndarray, rate: np.ndarray, capacity:
     return row, start, size, pack, offset
 
 
+def _mix(lengths: DataFrame, capacity: int, width: int, parts: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The fitted mix for lengths (column n), and how many rows and tokens there are."""
+    if capacity % width:
+        raise ValueError("width must divide capacity")
+    counted = lengths.groupBy(F.ceil(F.col("n") % capacity / width).alias("b")).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens")).collect()
+    histogram = np.zeros(capacity // width, np.int64)
+    for r in counted:
+        if r["b"] > 0:
+            histogram[r["b"] - 1] = r["rows"]
+    return *fit_mix(histogram, parts), sum(r["rows"] for r in counted), sum(r["tokens"] for r in counted)
+
+
+def sequences(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", capacity: int = CAPACITY, width: int = BIN, parts: int = PARTS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """The packed sequences themselves: pack_id, id_col's values as doc_ids, starts, lengths and tokens.
+
+    A sequence has the tokens of its segments one after another: lengths[i] tokens of doc_ids[i] from starts[i] on, together
+    capacity at most. Every token of every row is in one sequence. Null and empty lists have none, ids may be null or repeat, other columns
+    are ignored; an empty table gives an empty one. Tokens are shuffled once, in shards of about shard_tokens tokens (or
+    of one long row), by a hash of the row.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    item = docs.schema[tokens_col].dataType.elementType.simpleString()
+    rows = store.table(docs.where(F.size(tokens_col) > 0).select(F.col(id_col).alias("id"), F.size(tokens_col).cast("long").alias("n"), F.xxhash64(F.col(id_col).cast("string"), F.col(tokens_col)).alias("h"), F.col(tokens_col).alias("tokens")), "tokens")
+    mix, rate, _, total = _mix(rows, capacity, width, parts)
+    shards = max(1, math.ceil(total / shard_tokens))
+
+    def run(shard: pa.Table) -> pa.Table:
+        shard = shard.take(pc.sort_indices(shard, [("id", "ascending"), ("h", "ascending")])).combine_chunks()
+        tokens = shard["tokens"].combine_chunks()
+        row, start, size, where, _ = pack_shard(shard["n"].to_numpy().astype(np.int64), mix, rate, capacity, width)
+        first = tokens.offsets.to_numpy().astype(np.int64)[row] + start
+        last = np.cumsum(size)
+        flat = tokens.values.take(pa.array(np.repeat(first - last + size, size) + np.arange(last[-1])))
+        begin = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
+        bounds = pa.array(np.append(begin, len(where)).astype(np.int32))
+        lists = lambda values: pa.ListArray.from_arrays(bounds, values)
+        ends = pa.array(np.append(last[begin] - size[begin], last[-1]).astype(np.int32))
+        return pa.table({"pack_id": (shard["shard"][0].as_py() << 32) + where[begin], "doc_ids": lists(shard["id"].combine_chunks().take(pa.array(row))), "starts": lists(pa.array(start)), "lengths": lists(pa.array(size.astype(np.int32))), "tokens": pa.ListArray.from_arrays(ends, flat)})
+
+    schema = f"pack_id long, doc_ids array<{kind}>, starts array<long>, lengths array<int>, tokens array<{item}>"
+    return rows.withColumn("shard", F.pmod("h", F.lit(shards))).groupBy("shard").applyInArrow(run, schema)
+
+
 def pack(sizes: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", capacity: int = CAPACITY, width: int = BIN, parts: int = PARTS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Segments of documents in sequences: pack_id, slot, id_col, start (in the document), length and offset (in the sequence).
 
@@ -168,18 +211,10 @@ def pack(sizes: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens",
     null. An empty table gives an empty one. Other columns are ignored. width must divide capacity. Which pack a
     document gets depends on the lengths and a hash of the id alone.
     """
-    if capacity % width:
-        raise ValueError("width must divide capacity")
     kind = sizes.schema[id_col].dataType.simpleString()
     rows = store.table(sizes.where(F.col(length_col) > 0).select(F.col(id_col).alias("id"), F.col(length_col).cast("long").alias("n")), "lengths")
-    rest = F.col("n") % capacity
-    counted = rows.groupBy(F.ceil(rest / width).alias("b")).count().collect()
-    histogram = np.zeros(capacity // width, np.int64)
-    for r in counted:
-        if r["b"] > 0:
-            histogram[r["b"] - 1] = r["count"]
-    mix, rate = fit_mix(histogram, parts)
-    shards = max(1, math.ceil(sum(r["count"] for r in counted) / shard_rows))
+    mix, rate, count, _ = _mix(rows, capacity, width, parts)
+    shards = max(1, math.ceil(count / shard_rows))
 
     def run(shard: pa.Table) -> pa.Table:
         shard = shard.take(pc.sort_indices(shard, [("id", "ascending"), ("n", "ascending")]))

@@ -35,17 +35,20 @@ def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_pairs(_read(spark, sf_dir, "documents"))
+    return jaccard.similar_classes(_read(spark, sf_dir, "documents"))
 
 
 OP4_SQL = rf"""
-WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents WHERE doc_id IS NOT NULL),
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents WHERE doc_id IS NOT NULL),
 s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) ELSE [array_to_string(ws, ' ')] END)) AS g FROM w WHERE len(ws) > 0),
-r AS (SELECT doc_id, g, min(doc_id) OVER (PARTITION BY g) AS rep FROM s),
+r AS (SELECT doc_id, g, min(doc_id) OVER (PARTITION BY g) AS rep, count(*) OVER (PARTITION BY g) AS copies FROM s),
 e AS (SELECT doc_id, len(g) AS size, unnest(g) AS gram FROM r WHERE doc_id = rep),
-p AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS shared, a.size + b.size - count(*) AS total FROM e a JOIN e b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.size, b.size)
-SELECT doc_a, doc_b, shared, total, shared / total AS jaccard, false AS copies FROM p WHERE shared >= 0.5 * total
-UNION ALL SELECT rep, doc_id, len(g), len(g), 1.0::DOUBLE, true FROM r WHERE doc_id <> rep
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.size, b.size HAVING count(*) >= 0.5 * (a.size + b.size - count(*))),
+c AS (SELECT a, b FROM p UNION SELECT c.a, p.b FROM c JOIN p ON c.b = p.a),
+k AS (SELECT a, min(b) AS low FROM c GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+SELECT doc_id, least(rep, coalesce(low, rep)) AS class_id, rep, copies, coalesce(n_links, 0) AS n_links
+FROM r LEFT JOIN k ON k.a = rep LEFT JOIN n ON n.a = rep WHERE copies > 1 OR n_links > 0
 """
 
 

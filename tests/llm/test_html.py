@@ -1,3 +1,4 @@
+import collections
 import itertools
 import random
 import re
@@ -63,6 +64,34 @@ def test_held_out_pages(spark):
     assert total and right / total > 0.9
 
 
+def test_extracted_text(spark):
+    """Of held-out pages, the extracted words are those that the pages' own marks call content."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").where("html IS NOT NULL")
+    rows = [(r["page_id"], r["html"]) for r in pages.collect() if re.search("<(article|main)[ >]", r["html"], re.I)]
+    model = H.fit([h for _, h in rows[::2]])
+    held = spark.createDataFrame(rows[1::2], "page_id BIGINT, html STRING")
+    got = {r["page_id"]: r["content"].split() for r in H.extract(held, model).collect()}
+    right = found = wanted = 0
+    for i, h in rows[1::2]:
+        dom = H.parse(h)
+        forest = H.features([dom])
+        share, _ = H.marked(forest)
+        want = [w for node, _, t in dom.texts if share[node] >= 0.5 for w in t.split()]
+        both = collections.Counter(want) & collections.Counter(got[i])
+        right, found, wanted = right + both.total(), found + len(got[i]), wanted + len(want)
+    assert right > 0.85 * found and right > 0.85 * wanted
+
+
+def test_pages_without_marks(spark):
+    words = "The cat sat on the mat, and the dog looked at it for a long while. "
+    page = lambda i: f"<html><body><div class=menu><ul><li><a href=/a>Home</a><li><a href=/b>About us</a></ul></div><div class=post><p>{words * (3 + i % 4)}</p><p>{words * 2}</p></div><div class=foot><a href=/c>Terms</a></div></body></html>"
+    df = spark.createDataFrame([(i, page(i)) for i in range(40)], "page_id BIGINT, html STRING")
+    for r in H.extract(df, H.train(df)).collect():
+        assert words.split()[1] in r["content"] and "Terms" not in r["content"] and "About us" not in r["content"]
+    long = spark.createDataFrame([(1, page(1))], "page_id BIGINT, html STRING")
+    assert words.split()[1] in H.extract(long, H.train(long, longest=10)).first()["content"]
+
+
 def test_odd_rows(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     model = H.train(pages)

@@ -2,7 +2,9 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quern.llm import jaccard
 
@@ -84,6 +86,86 @@ def test_odd_rows(spark):
     assert jaccard.keep_one_of_each_group(df.limit(0)).count() == 0
 
 
+def classes(rows, pairs):
+    """What similar_classes gives, from all pairs."""
+    same = {}
+    for i, t in rows:
+        same.setdefault(frozenset(grams(t)), []).append(i)
+    rep = {i: min(ids) for ids in same.values() for i in ids}
+    size = {i: len(ids) for ids in same.values() for i in ids}
+    label, links = {i: i for i in rep}, dict.fromkeys(rep, 0)
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        label[max(x, y)] = min(x, y)
+        if rep[a] == a and rep[b] == b:
+            links[a] += 1
+            links[b] += 1
+    return {i: (find(i), rep[i], size[i], links[rep[i]]) for i in rep if size[i] > 1 or links[rep[i]]}
+
+
+def of(df):
+    return {r["doc_id"]: (r["class_id"], r["rep"], r["copies"], r["n_links"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("small", [1500, 10])
+def test_classes_against_brute_force(spark, small):
+    rows = corpus(seed=4) + [(1000 + i, " ".join([f"a{j}" for j in range(60)] + [f"z{i % 40}"])) for i in range(90)]
+    got = of(jaccard.similar_classes(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), small=small))
+    want = classes(rows, brute(rows))
+    assert set(got) <= set(want)
+    assert {i: v for i, v in got.items() if i >= 1000} == {i: v for i, v in want.items() if i >= 1000}
+    assert sum(got.get(i) == v for i, v in want.items()) >= 0.95 * len(want)
+
+
+def test_classes_of_odd_rows(spark):
+    df = spark.createDataFrame(ODD, "doc_id BIGINT, text STRING, class_id STRING").withColumn("rep", F.lit(1)).withColumn("s1", F.lit("x"))
+    assert of(jaccard.similar_classes(df)) == {1: (1, 1, 2, 0), 2: (1, 1, 2, 0), 7: (7, 7, 2, 0), 8: (7, 7, 2, 0)}
+    assert jaccard.similar_classes(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.1, 0.5])
+def test_the_scheme_reaches_its_recall(threshold):
+    """By simulation: pairs at the threshold share each slot with that probability."""
+    how = jaccard.scheme(threshold, 0.9)
+    assert how.runs * how.branches <= how.slots
+    rng = np.random.default_rng(1)
+    n, found = 300, 0
+    a = rng.integers(0, 1 << 32, (n, how.slots), dtype=np.uint32)
+    b = np.where(rng.random(a.shape) < threshold, a, rng.integers(0, 1 << 32, a.shape, dtype=np.uint32))
+    for x, y in zip(a, b):
+        if (x == y).sum() < how.least:
+            continue
+        met = False
+        for r in range(how.runs):
+            ways = [r * how.branches + i for i in range(how.branches)]
+            paths = [jaccard.K.mix(np.array([x[s]], np.uint64) * np.uint64(how.slots) + np.uint64(s) + jaccard.K.seed(1000 + r)) for s in ways if x[s] == y[s]]
+            for _ in range(jaccard.DEPTH - 1):
+                paths = [p for q in paths for p, o in zip(jaccard._children(q, x[None], how.branches), jaccard._children(q, y[None], how.branches)) if p == o]
+            met |= bool(paths)
+        found += met
+    assert found >= 0.9 * n - 3 * (n * 0.09) ** 0.5
+
+
+@pytest.mark.parametrize("sizes,most", [([1] * 10, 4), ([5, 5, 5], 4), ([100, 1, 1, 1], 10), ([3], 1), ([2, 2], 100)])
+def test_blocks_keep_every_pair(sizes, most):
+    parts = jaccard.in_blocks(np.array(sizes), most)
+    assert {p for part in parts for p in itertools.combinations(sorted(part.tolist()), 2)} == set(itertools.combinations(range(len(sizes)), 2))
+
+
+def test_large_sets_are_compared_in_parts(spark, monkeypatch):
+    rows = corpus(60)
+    monkeypatch.setattr(jaccard._likely, "__defaults__", (300,))
+    got = of(jaccard.similar_classes(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")))
+    want = classes(rows, brute(rows))
+    assert sum(got.get(i) == v for i, v in want.items()) >= 0.9 * len(want)
+
+
 def test_threshold_is_inclusive(spark):
     # three common 3-grams of six in all
     rows = [(1, "a b c d e f1 g1"), (2, "a b c d e")]

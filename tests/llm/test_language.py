@@ -40,6 +40,33 @@ def test_wrong_labels_are_rejected(spark):
     assert got and np.mean([not r["accepted"] for r in got]) > 0.95
 
 
+def test_labels_of_short_or_long_texts_only(spark):
+    rows = [(i, "der hund und die katze " * 20, "de") for i in range(20)] + [(100 + i, f"le chat {i}", "fr") for i in range(20)] + [(200 + i, "el perro y el gato " * 3000, "es") for i in range(3)] + [(300, "", "xx"), (301, None, "xx")]
+    model = language.train(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING"))
+    assert model.languages == ["de", "es", "fr"]
+    probe = spark.createDataFrame([(1, "le chat noir", "fr"), (2, "el gato y el perro", "es"), (3, "der hund und die katze", "fr")], "doc_id BIGINT, text STRING, lang STRING")
+    got = {r["doc_id"]: r["language"] for r in language.identify(probe, model).collect()}
+    assert got == {1: "fr", 2: "es", 3: "de"}
+
+
+def slow_scores(model, texts, m):
+    """Kernel by sets and ridge by its formula, without Nystrom's shortcuts."""
+    grams = lambda t: {t.encode()[i : i + n] for n in (1, 2, 3) for i in range(len(t.encode()) - n + 1)}
+    land = [grams(t) for t in m]
+    known = set().union(*land)
+    k = lambda t: np.array([len(grams(t) & known & z) / np.sqrt(max(1, len(grams(t) & known)) * len(z)) for z in land])
+    return np.array([k(t) for t in texts]) @ model.weights
+
+
+def test_scores_against_brute_force():
+    texts = ["the cat sat on it", "le chat est la", "die katze war da", "the dog ran off", "un chien passe", "ein hund kam"]
+    labels = ["en", "fr", "de", "en", "fr", "de"]
+    model = language.fit(texts, labels, landmarks=2)
+    land = [t for lang in model.languages for t, x in zip(texts, labels) if x == lang]
+    probe = ["a cat and a dog", "le chien est la", "ein katze"]
+    assert np.allclose(model.scores(*language._batch(probe), model.tables())[0], slow_scores(model, probe, land), atol=1e-4)
+
+
 def test_odd_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.train(docs)

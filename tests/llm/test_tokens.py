@@ -162,6 +162,41 @@ def test_packing_of_odd_rows(spark):
         packing.pack(df, width=33)
 
 
+def unpacked(sequences, capacity):
+    """The tokens of each document, in segments, and how many sequences there are."""
+    parts = {}
+    for r in sequences:
+        assert 0 < len(r["tokens"]) <= capacity and len(r["doc_ids"]) == len(r["starts"]) == len(r["lengths"]) and sum(r["lengths"]) == len(r["tokens"])
+        at = 0
+        for i, start, n in zip(r["doc_ids"], r["starts"], r["lengths"]):
+            parts.setdefault(i, []).append((start, r["tokens"][at : at + n]))
+            at += n
+    return parts
+
+
+@pytest.mark.parametrize("shard_tokens", [2 << 20, 5000])
+def test_sequences_hold_every_token(spark, shard_tokens):
+    rng = np.random.default_rng(2)
+    docs = {i: rng.integers(0, 50_000, int(n)).tolist() for i, n in enumerate(np.concatenate([rng.integers(1, 300, 120), [2048, 4096, 5000, 1]]))}
+    df = spark.createDataFrame(list(docs.items()), "doc_id BIGINT, tokens ARRAY<INT>")
+    got = packing.sequences(df, shard_tokens=shard_tokens).collect()
+    assert len({r["pack_id"] for r in got}) == len(got)
+    for i, parts in unpacked(got, packing.CAPACITY).items():
+        assert [t for _, p in sorted(parts) for t in p] == docs.pop(i)
+        assert [s for s, _ in sorted(parts)] == np.cumsum([0, *[len(p) for _, p in sorted(parts)][:-1]]).tolist()
+    assert not docs
+    assert sorted(map(str, got)) == sorted(map(str, packing.sequences(df.repartition(5), shard_tokens=shard_tokens).collect()))
+
+
+def test_sequences_of_odd_rows(spark):
+    rows = [(1, [1, 2], "a"), (1, [1, 2], "a"), (1, [3], "b"), (2, [], "c"), (3, None, "d"), (None, [9], "e"), (4, list(range(9000)), "f")]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, tokens ARRAY<INT>, pack_id STRING").withColumn("n", F.lit("x")).withColumn("id", F.lit(1)).withColumn("h", F.lit(2))
+    parts = unpacked(packing.sequences(df).collect(), packing.CAPACITY)
+    assert sorted(parts[1]) == [(0, [1, 2]), (0, [1, 2]), (0, [3])] and parts[None] == [(0, [9])] and set(parts) == {1, None, 4}
+    assert [t for _, p in sorted(parts[4]) for t in p] == list(range(9000))
+    assert packing.sequences(df.limit(0)).count() == 0
+
+
 def test_least_squares():
     rng = np.random.default_rng(0)
     for _ in range(20):
