@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import heuristics as H
@@ -23,6 +23,8 @@ TOXIC = [
 POSITIVE = _any("biology, chapter, chemistry, concept, definition, example, exercise, experiment, explain, formula, geography, grammar, history, homework, knowledge, learn, lesson, literature, math, physics, science, study, teach, textbook, theorem, understand, vocabulary")
 NEGATIVE = _any("adult, advertisement, buy now, casino, click here, coupon, gambling, limited offer, promo, subscribe, xxx")
 TRUSTED = sorted("bbc.co.uk/cbbc britannica.com ducksters.com khanacademy.org kidsnewsroom.org nationalgeographic.com nature.com newsela.com pbs.org readworks.org scholastic.com sciencedaily.com smithsonianmag.com wikipedia.org".split())
+#: What ends a sentence.
+_STOP = ".!?"
 LEVELS = [("K1", 1), ("2-3", 3), ("4-5", 5), ("6-8", 8), ("9-12", 12)]
 
 
@@ -35,18 +37,13 @@ def toxicity(c: Column) -> Column:
     return F.least(toxic_hits(c) / 3, F.lit(1.0))
 
 
-def _mean_sentence(c: Column) -> Column:
+def _mean_sentence(c: Column, sentences: Column) -> Column:
     """Mean words of the sentences that aren't blank; null without any."""
-    parts = F.filter(F.split(c, r"[.!?]", -1), lambda s: s.rlike(rf"[^{T.SPACE}]"))
-    total = F.aggregate(parts, F.lit(0), lambda a, s: a + T.word_count(s))
-    return F.when(F.size(parts) > 0, total / F.size(parts))
+    return F.when(sentences > 0, F.regexp_count(c, F.lit(rf"[^{T.SPACE}{_STOP}]+")) / sentences)
 
 
-def educational_score(c: Column) -> Column:
-    """0 to 5: keyword density, sentence length, headings, lists, figures."""
-    n = T.word_count(c)
+def _score(c: Column, n: Column, mean: Column) -> Column:
     per = F.greatest(n / 50, F.lit(1.0))
-    mean = _mean_sentence(c)
     raw = (
         F.least(F.regexp_count(c, F.lit(POSITIVE)) / per, F.lit(2.5))
         - F.least(F.regexp_count(c, F.lit(NEGATIVE)) / per, F.lit(2.0))
@@ -58,40 +55,73 @@ def educational_score(c: Column) -> Column:
     return F.when(n == 0, 0.0).otherwise(F.least(F.greatest(raw, F.lit(0.0)), F.lit(5.0)))
 
 
-def _usable(c: Column) -> Column:
-    return (F.size(T.cased_words(c)) > 0) & (H.sentences(c, "[.!?]") > 0)
+def educational_score(c: Column) -> Column:
+    """0 to 5: keyword density, sentence length, headings, lists, figures."""
+    return _score(c, T.word_count(c), _mean_sentence(c, H.sentences(c, _STOP)))
+
+
+def _usable(w: Column, n: Column) -> Column:
+    return (F.size(w) > 0) & (n > 0)
+
+
+def _grade(w: Column, n: Column) -> Column:
+    return F.when(_usable(w, n), H.grade(F.size(w), n, H.syllables(w))).otherwise(8.0)
+
+
+def _word_length(w: Column, n: Column) -> Column:
+    return F.when(_usable(w, n), H.characters(w) / F.size(w)).otherwise(5.0)
 
 
 def readability_grade(c: Column) -> Column:
-    w = T.cased_words(c)
-    return F.when(_usable(c), H.grade(F.size(w), H.sentences(c, "[.!?]"), H.syllables(w))).otherwise(8.0)
+    return T.let(T.cased_words(c), lambda w: _grade(w, H.sentences(c, _STOP)))
 
 
 def mean_word_length(c: Column) -> Column:
-    w = T.cased_words(c)
-    return F.when(_usable(c), H.characters(w) / F.size(w)).otherwise(5.0)
+    return T.let(T.cased_words(c), lambda w: _word_length(w, H.sentences(c, _STOP)))
 
 
-def learner_level(c: Column) -> Column:
-    fk = readability_grade(c)
-    out = F.when((fk <= 1) | (mean_word_length(c) <= 3.5), "K1")
+def _level(fk: Column, length: Column) -> Column:
+    out = F.when((fk <= 1) | (length <= 3.5), "K1")
     for name, most in LEVELS[1:]:
         out = out.when(fk <= most, name)
     return out.otherwise("Adult")
 
 
+def learner_level(c: Column) -> Column:
+    one = lambda w: T.let(F.struct(_grade(w, H.sentences(c, _STOP)).alias("g"), _word_length(w, H.sentences(c, _STOP)).alias("n")), lambda s: _level(s["g"], s["n"]))
+    return T.let(T.cased_words(c), one)
+
+
+#: Columns that measured adds.
+MEASURES = ["toxic_hits", "edu_score", "grade", "learner_level", "audience", "tier"]
+
+
+def measured(df: DataFrame, c: Column, trusted: Column | None = None) -> DataFrame:
+    """df with MEASURES of a text: kinds of toxic phrases, educational score (raised for a trusted source), grade, learner level, its audience, tier.
+
+    A null text is measured as an empty one, which has score 0 and the middle level. Words and sentences are computed
+    once, in a projection of their own. Columns of df with such names are replaced.
+    """
+    c = F.coalesce(c, F.lit(""))
+    rest = [x for x in df.columns if x not in MEASURES]
+    rows = df.select(*rest, (F.lit(False) if trusted is None else trusted).alias("__trusted"), c.alias("__c"))
+    rows = rows.select("*", T.cased_words(F.col("__c")).alias("__cw"), H.sentences(F.col("__c"), _STOP).alias("__n"), T.word_count(F.col("__c")).alias("__words"), toxic_hits(F.col("__c")).alias("toxic_hits"))
+    w, n, c = F.col("__cw"), F.col("__n"), F.col("__c")
+    rows = rows.select(*rest, "toxic_hits", boosted(_score(c, F.col("__words"), _mean_sentence(c, n)), F.col("__trusted")).alias("edu_score"), _grade(w, n).alias("grade"), _word_length(w, n).alias("__length"))
+    rows = rows.withColumn("learner_level", _level(F.col("grade"), F.col("__length"))).drop("__length")
+    return rows.withColumn("audience", audience(F.col("learner_level"))).withColumn("tier", tier(F.col("learner_level"), F.col("toxic_hits") == 0, F.col("edu_score")))
+
+
 def audience(level: Column) -> Column:
     return F.when(level.isin("K1", "2-3", "4-5"), "kids").when(level.isin("6-8", "9-12"), "teens").otherwise("adults")
 
 
 def type_token_ratio(c: Column) -> Column:
-    w = T.words(c)
-    return F.when(_usable(c), F.size(F.array_distinct(w)) / F.size(w)).otherwise(0.5)
+    return T.let(T.words(c), lambda w: F.when(_usable(w, H.sentences(c, _STOP)), F.size(F.array_distinct(w)) / F.size(w)).otherwise(0.5))
 
 
 def long_word_ratio(c: Column, longer: int = 6) -> Column:
-    w = T.cased_words(c)
-    return F.when(_usable(c), F.size(F.filter(w, lambda x: F.length(x) > longer)) / F.size(w)).otherwise(0.3)
+    return T.let(T.cased_words(c), lambda w: F.when(_usable(w, H.sentences(c, _STOP)), F.size(F.filter(w, lambda x: F.length(x) > longer)) / F.size(w)).otherwise(0.3))
 
 
 def is_trusted(url: Column, domains: list[str] = TRUSTED) -> Column:

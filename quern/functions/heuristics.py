@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
@@ -35,7 +35,7 @@ SCRIPTS: dict[str, str] = dict.fromkeys("bg ru uk".split(), "Cyrillic") | dict.f
 _CLASS = {s: rf"\p{{Is{s}}}" for s in set(SCRIPTS.values())} | {"Han": r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}", "Hangul": r"\p{IsHangul}\p{IsHan}"}
 #: Signs that say nothing about a script.
 _NEUTRAL = r"""[\s\p{Nd}.,;:!?\-()\[\]{}"'/\\@#$%^&*+=<>~`|_]"""
-_STOP = r"[.!?。！？]+"
+_STOP = ".!?。！？"
 
 
 @dataclass(frozen=True)
@@ -67,18 +67,20 @@ def stopword_density(w: Column, lang: Column) -> Column:
 
 
 def sentences(c: Column, stop: str = _STOP) -> Column:
-    """Parts between sentence marks that aren't blank."""
-    return F.size(F.filter(F.split(c, stop, -1), lambda s: s.rlike(rf"[^{T.SPACE}]")))
+    """Parts between sentence marks (the characters of stop) that aren't blank."""
+    return F.regexp_count(c, F.lit(rf"[^{T.SPACE}{stop}][^{stop}]*+"))
 
 
-def _syllables_of(w: Column) -> Column:
-    groups = F.greatest(F.lit(1), F.size(F.regexp_extract_all(w, F.lit("[aeiouy]+"), 0)))
-    return groups - F.when(w.endswith("e") & (groups > 1), 1).otherwise(0)
+def syllables(w: Column) -> Column:
+    """Vowel groups, at least one in a word, without a silent e at its end; counted over all words in one go."""
 
+    def count(t: Column) -> Column:
+        groups = F.regexp_count(t, F.lit("[aeiouy]++"))
+        without = F.regexp_count(t, F.lit("(?<![^ ])[^aeiouy ]++(?![^ ])"))
+        silent = F.regexp_count(t, F.lit("(?<![^ ])[^aeiouy ]*+[aeiouy]++[^aeiouy ]++[^ ]*+(?<=e)"))
+        return groups + without - silent
 
-def syllables(w: Column) -> Column:
-    """Vowel groups, at least one in a word, without a silent e at its end."""
-    return F.aggregate(w, F.lit(0), lambda a, x: a + _syllables_of(F.lower(x)))
+    return T.let(F.lower(F.array_join(w, " ")), count)
 
 
 def grade(n_words: Column, n_sentences: Column, n_syllables: Column) -> Column:
@@ -86,34 +88,41 @@ def grade(n_words: Column, n_sentences: Column, n_syllables: Column) -> Column:
     return 0.39 * (n_words / n_sentences) + 11.8 * (n_syllables / n_words) - 15.59
 
 
+def _grade_of(w: Column, n_sentences: Column) -> Column:
+    return F.when(F.size(w) < 10, -1.0).otherwise(grade(F.size(w), F.greatest(F.lit(1), n_sentences), syllables(w)))
+
+
 def flesch_kincaid(c: Column) -> Column:
     """Grade of an English text; -1 below ten words."""
-    w = T.cased_words(c)
-    return F.when(F.size(w) < 10, -1.0).otherwise(grade(F.size(w), F.greatest(F.lit(1), sentences(c)), syllables(w)))
+    return T.let(T.cased_words(c), lambda w: _grade_of(w, sentences(c)))
 
 
 def characters(w: Column) -> Column:
-    return F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x))
+    return F.length(F.array_join(w, ""))
+
+
+def _sentence_length_of(w: Column, n_sentences: Column) -> Column:
+    return F.when(F.size(w) < 5, 0.0).otherwise(F.size(w) / F.greatest(F.lit(1), n_sentences))
 
 
 def sentence_length(c: Column) -> Column:
     """Words in a sentence; 0 below five words."""
-    w = T.cased_words(c)
-    return F.when(F.size(w) < 5, 0.0).otherwise(F.size(w) / F.greatest(F.lit(1), sentences(c)))
+    return T.let(T.cased_words(c), lambda w: _sentence_length_of(w, sentences(c)))
 
 
-def letters_in_word(c: Column) -> Column:
-    w = T.cased_words(c)
+def _letters_of(w: Column) -> Column:
     return F.when(F.size(w) < 5, 0.0).otherwise(characters(w) / F.size(w))
 
 
+def letters_in_word(c: Column) -> Column:
+    return T.let(T.cased_words(c), _letters_of)
+
+
 def script_sample(c: Column, first: int = 500) -> Column:
     return F.substring(F.regexp_replace(c, _NEUTRAL, ""), 1, first)
 
 
-def script_consistency(c: Column, lang: Column, first: int = 500) -> Column:
-    """Share of the first letters that belong to the language's script; 1 for unknown languages, 0 without letters."""
-    sample = script_sample(c, first)
+def _script_share(sample: Column, lang: Column) -> Column:
     out = F.lit(1.0)
     for script in sorted(set(SCRIPTS.values())):
         codes = [k for k, v in SCRIPTS.items() if v == script]
@@ -122,33 +131,42 @@ def script_consistency(c: Column, lang: Column, first: int = 500) -> Column:
     return out
 
 
+def script_consistency(c: Column, lang: Column, first: int = 500) -> Column:
+    """Share of the first letters that belong to the language's script; 1 for unknown languages, 0 without letters."""
+    return T.let(script_sample(c, first), lambda sample: _script_share(sample, lang))
+
+
 def repetition_ratio(w: Column, n: int = 5) -> Column:
     """Distinct n-grams by all; 1 below ten words."""
-    g = T.ngrams(w, n)
-    return F.when(F.size(w) < 10, 1.0).otherwise(F.size(F.array_distinct(g)) / F.size(g))
-
-
-def passes(c: Column, lang: Column, limits: Limits = Limits()) -> Column:
-    """The gate, cheapest test first; a language without function words skips that test."""
-    w = T.words(c)
-    density = stopword_density(w, lang)
-    stop_ok = ~lang.isin(list(STOPWORDS)) | density.between(*limits.stopwords)
-    fk = flesch_kincaid(c)
-    size, letters = sentence_length(c), letters_in_word(c)
-    other = (size <= 0) | (size.between(*limits.sentence) & letters.between(*limits.letters))
-    readable = F.when(lang == "en", (fk < 0) | fk.between(*limits.grade)).otherwise(other)
-    return stop_ok & readable & (script_consistency(c, lang) >= limits.script) & (repetition_ratio(w) >= limits.distinct)
-
-
-def stats(c: Column, lang: Column, limits: Limits = Limits()) -> dict[str, Column]:
-    """Every measure of the gate, and its verdict, by name."""
-    w = T.words(c)
-    return {
-        "stopword_density": stopword_density(w, lang),
-        "grade": flesch_kincaid(c),
-        "sentence_length": sentence_length(c),
-        "letters_in_word": letters_in_word(c),
-        "script_consistency": script_consistency(c, lang),
-        "repetition_ratio": repetition_ratio(w),
-        "passes": passes(c, lang, limits),
-    }
+    return F.when(F.size(w) < 10, 1.0).otherwise(T.let(T.gram_hashes(w, n), lambda g: F.size(F.array_distinct(g)) / F.size(g)))
+
+
+#: Columns that measured adds.
+MEASURES = ["stopword_density", "grade", "sentence_length", "letters_in_word", "script_consistency", "repetition_ratio", "passes"]
+
+
+def measured(df: DataFrame, c: Column, lang: Column, limits: Limits = Limits()) -> DataFrame:
+    """df with MEASURES: every measure of the gate, and its verdict.
+
+    A language without function words skips that test; so does a null one, which has no script either. A null text is
+    measured as an empty one. Words, sentences and the sample of letters are computed once, in a projection of their own. Columns of df with such names are replaced.
+    """
+    c = F.coalesce(c, F.lit(""))
+    rows = df.select("*", lang.alias("__lang"), T.words(c).alias("__w"), T.cased_words(c).alias("__cw"), sentences(c).alias("__n"), script_sample(c).alias("__sample"))
+    w, cw, n = F.col("__w"), F.col("__cw"), F.col("__n")
+    rows = rows.select(
+        *[x for x in rows.columns if x not in MEASURES],
+        stopword_density(w, F.col("__lang")).alias("stopword_density"),
+        _grade_of(cw, n).alias("grade"),
+        _sentence_length_of(cw, n).alias("sentence_length"),
+        _letters_of(cw).alias("letters_in_word"),
+        F.coalesce(_script_share(F.col("__sample"), F.col("__lang")), F.lit(1.0)).alias("script_consistency"),
+        repetition_ratio(w).alias("repetition_ratio"),
+    )
+    known = F.coalesce(F.col("__lang").isin(list(STOPWORDS)), F.lit(False))
+    stop_ok = ~known | F.col("stopword_density").between(*limits.stopwords)
+    size, fk = F.col("sentence_length"), F.col("grade")
+    other = (size <= 0) | (size.between(*limits.sentence) & F.col("letters_in_word").between(*limits.letters))
+    readable = F.when(F.col("__lang") == "en", (fk < 0) | fk.between(*limits.grade)).otherwise(other)
+    verdict = stop_ok & readable & (F.col("script_consistency") >= limits.script) & (F.col("repetition_ratio") >= limits.distinct)
+    return rows.withColumn("passes", verdict).drop("__lang", "__w", "__cw", "__n", "__sample")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import re
 import unicodedata
 from collections.abc import Callable
@@ -27,12 +28,15 @@ def nfkc(c: Column) -> Column:
     return F.pandas_udf(_nfkc, "string")(c)
 
 
-def _repair(s: pd.Series) -> pd.Series:
-    try:
-        from ftfy import fix_text
-    except ModuleNotFoundError:
-        return s
-    return s.map(lambda t: None if t is None else fix_text(t))
+def _beyond_ascii(c: Column) -> Column:
+    """NFKC of what has a character beyond ASCII, which alone goes to Python; c elsewhere."""
+    return F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+
+
+def _repaired(s: pd.Series) -> pd.Series:
+    from ftfy import fix_text
+
+    return s.map(lambda t: None if t is None else fix_text(unicodedata.normalize("NFKC", t)))
 
 
 def strip(c: Column) -> Column:
@@ -51,13 +55,14 @@ def normalize(c: Column) -> Column:
 
     ASCII text, which NFKC leaves as it is, doesn't leave the JVM.
     """
-    c = F.coalesce(c, F.lit(""))
-    return _tidy(F.when(c.rlike(r"[^\x00-\x7F]"), nfkc(c)).otherwise(c))
+    return _tidy(_beyond_ascii(F.coalesce(c, F.lit(""))))
 
 
 def clean(c: Column) -> Column:
-    """normalize, with ftfy's repairs after NFKC where that library is installed."""
-    return _tidy(F.pandas_udf(_repair, "string")(nfkc(F.coalesce(c, F.lit("")))))
+    """normalize, with ftfy's repairs after NFKC where the driver has that library; all text goes to Python then."""
+    if importlib.util.find_spec("ftfy") is None:
+        return normalize(c)
+    return _tidy(F.pandas_udf(_repaired, "string")(F.coalesce(c, F.lit(""))))
 
 
 def length_status(c: Column, least: int = 200, most: int = 100_000) -> Column:
@@ -75,7 +80,7 @@ def cased_words(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     """Words between white space."""
-    return F.size(F.regexp_extract_all(c, F.lit(rf"[^{SPACE}]+"), 0))
+    return F.regexp_count(c, F.lit(rf"[^{SPACE}]+"))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -89,6 +94,19 @@ def ngrams(w: Column, n: int) -> Column:
     return let(w, grams)
 
 
+def gram_hashes(w: Column, n: int) -> Column:
+    """64-bit hashes of all n-grams of an array of words, with repeats: words are hashed once, and their hashes together."""
+    grams = lambda h: F.when(F.size(h) >= n, F.transform(F.sequence(F.lit(1), F.size(h) - n + 1), lambda i: F.xxhash64(F.slice(h, i, n)))).otherwise(F.array().cast("array<bigint>"))
+    return let(F.transform(w, lambda x: F.xxhash64(x)), grams)
+
+
+def gram_keys(w: Column, n: int) -> Column:
+    """All n-grams of an array of words as structs of two hashes, h of 64 bits and g of 32."""
+    one = lambda h, i: F.struct(F.xxhash64(F.slice(h, i, n)).alias("h"), F.hash(F.slice(h, i, n)).alias("g"))
+    grams = lambda h: F.when(F.size(h) >= n, F.transform(F.sequence(F.lit(1), F.size(h) - n + 1), lambda i: one(h, i))).otherwise(F.array().cast("array<struct<h:bigint,g:int>>"))
+    return let(F.transform(w, lambda x: F.xxhash64(x)), grams)
+
+
 def ngram_set(w: Column, n: int) -> Column:
     return F.array_distinct(ngrams(w, n))
 

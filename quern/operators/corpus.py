@@ -10,9 +10,14 @@ from quern.functions import text as T
 
 
 def first_of_each(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """Of rows with one key, the first by order. A partial aggregate picks it, so a hot key costs a row for each task."""
-    kept = df.groupBy(key.alias("__key")).agg(F.min(order).alias("__first")).select("__first")
-    return df.join(kept, df[order] == kept["__first"], "left_semi")
+    """Of rows with one key, the first by order: one row for each key, null keys too.
+
+    A null order comes last; of ties, the row with the least hash of all its columns stays, and of equal rows any one.
+    Every task picks its first rows before anything is shuffled, so a hot key costs a row for each task.
+    """
+    over = Window.partitionBy("__key").orderBy(F.col(order).asc_nulls_last(), "__tie")
+    rows = df.withColumn("__key", key).withColumn("__tie", F.xxhash64(*df.columns))
+    return rows.withColumn("__rank", F.row_number().over(over)).where("__rank = 1").drop("__key", "__tie", "__rank")
 
 
 def last_annotation(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -99,10 +104,13 @@ def topic_label(c: Column) -> Column:
 
 
 def feature_rows(annotations: DataFrame, texts: DataFrame, id_col: str = "doc_id", annotation: str = "annotation") -> DataFrame:
-    """Features of annotated documents, with their text or an empty one."""
+    """Features of annotated documents, with their text or an empty one.
+
+    Every annotation gives one row, also a repeated one; of texts that repeat an id, the least counts, and a null id has none.
+    """
     c = F.col(annotation)
     rows = annotations.select(id_col, quality_score(c).alias("quality_score"), difficulty(c).alias("difficulty_level"), flag(c, "vocabulary", "complex").alias("vocab_complexity"), flag(c, "vocabulary", "jargon").alias("has_jargon"), flag(c, "engagement", "engaging").alias("engagement"), topic_label(c).alias("topic_label"))
-    return rows.join(texts.select(id_col, "text"), id_col, "left").withColumn("text", F.coalesce("text", F.lit("")))
+    return rows.join(texts.groupBy(id_col).agg(F.min("text").alias("text")), id_col, "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def distribution(df: DataFrame, column: str, low: int, high: int) -> DataFrame:

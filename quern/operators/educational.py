@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.functions import education as E
 from quern.functions import text as T
 from quern.operators import decontamination as D
+from quern.sources.writers import stored
 
 #: A detector gives an array of structs (lang, score), one for each of its models, of a text column.
 Detector = Callable[[Column], Column]
@@ -38,31 +39,35 @@ def is_code_mixed(c: Column, target: Column, detector: Detector | None = None, m
 
 
 def judged(df: DataFrame, index: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", detector: Detector | None = None, levels: tuple[str, ...] = (), trusted: Column | None = None, n: int = D.N) -> DataFrame:
-    """id_col, outcome (one of OUTCOMES), edu_score, learner_level, audience and tier of every document.
+    """id_col, outcome (one of OUTCOMES), edu_score, learner_level, audience and tier of every row of df.
 
     Duplicates are found among texts of a fit length before anything else is tested, so a copy of a
     document that a later test rejects still counts as one. Decontamination and scores see the text
     with personal data masked, duplicates the text before.
+
+    Every row has one outcome, whatever its id. Of equal texts the one with the least id isn't a duplicate; a null id
+    comes last. Rows that are equal in id and text share an outcome. A null text has a bad length, a null language fails the
+    language test. An empty table gives an empty one; other columns are ignored.
     """
-    c, lang = F.col(text_col), F.col(lang_col)
-    rows = df.select(id_col, lang_col, T.clean(c).alias(text_col), (F.lit(False) if trusted is None else trusted).alias("__trusted")).withColumn("__fit", T.length_status(c) == "ok").withColumn("__masked", T.mask_personal(c))
-    first = rows.where("__fit").groupBy(T.content_hash(c)).agg(F.min(id_col).alias(id_col)).select(id_col, F.lit(True).alias("__first"))
-    hit = D.contaminated_ids(rows.where("__fit"), index, id_col, F.col("__masked"), n).withColumn("__hit", F.lit(True))
-    level, masked = F.col("learner_level"), F.col("__masked")
-    rows = rows.join(first, id_col, "left").join(hit, id_col, "left")
-    rows = rows.withColumn("learner_level", E.learner_level(masked)).withColumn("edu_score", E.boosted(E.educational_score(masked), F.col("__trusted")))
+    c, lang = F.col("__text"), F.col("__lang")
+    rows = df.select(F.col(id_col), F.col(lang_col).alias("__lang"), T.clean(F.col(text_col)).alias("__text"), (F.lit(False) if trusted is None else trusted).alias("__source"))
+    rows = rows.withColumn("__masked", T.mask_personal(c)).withColumn("__fit", T.length_status(c) == "ok")
+    marked = D.with_hits(rows, index, id_col, F.col("__masked"), n, F.col("__fit"), "__hit")
     found = language_score(c, lang, detector)
+    speech = F.when(lang.isNull() | (found["lang"] != lang) | (found["score"] < 0.8), "language").when(is_code_mixed(c, lang, detector), "code_mix")
+    kept = E.measured(marked, F.col("__masked"), F.col("__source")).select(id_col, "__fit", "__hit", T.content_hash(c).alias("__hash"), speech.alias("__speech"), E.toxic_hits(c).alias("__toxic"), "edu_score", "learner_level", "audience", "tier")
+    kept = stored(kept.withColumn("__key", F.xxhash64(id_col, "__hash")), "judged")  # no texts
+    first = kept.where("__fit").groupBy("__hash").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col), F.col("__key").alias("k"))).alias("x")).select(F.col("x.k").alias("__key"), F.lit(True).alias("__first"))
     outcome = (
         F.when(~F.col("__fit"), "bad_length")
         .when(F.col("__first").isNull(), "duplicate")
-        .when((found["lang"] != lang) | (found["score"] < 0.8), "language")
-        .when(is_code_mixed(c, lang, detector), "code_mix")
-        .when(E.toxic_hits(c) >= 3, "toxic")
+        .when(F.col("__speech").isNotNull(), F.col("__speech"))
+        .when(F.col("__toxic") >= 3, "toxic")
         .when(F.col("__hit"), "contaminated")
     )
     if levels:
-        outcome = outcome.when(~level.isin(*levels), "audience")
-    return rows.select(id_col, outcome.otherwise("kept").alias("outcome"), "edu_score", "learner_level", E.audience(level).alias("audience"), E.tier(level, E.toxic_hits(c) == 0, F.col("edu_score")).alias("tier"))
+        outcome = outcome.when(~F.col("learner_level").isin(*levels), "audience")
+    return kept.join(first, "__key", "left").select(id_col, outcome.otherwise("kept").alias("outcome"), "edu_score", "learner_level", "audience", "tier")
 
 
 def funnel(rows: DataFrame) -> DataFrame:

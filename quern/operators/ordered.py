@@ -24,8 +24,10 @@ def prefix_sum(df: DataFrame, order: str, value: Column, out: str, group: str |
     key = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
     if bounds:
         edges = F.array(*map(F.lit, bounds))
-        # The range that a key falls into: how many bounds it exceeds.
-        place = F.aggregate(edges, F.lit(0), lambda a, b: a + (key > b).cast("int"))
+        # The range that a key falls into, which is how many bounds it exceeds, by halving steps.
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+        most = F.lit(len(bounds))
+        place = F.aggregate(steps, F.lit(0), lambda a, s: F.when((a + s <= most) & (key > F.element_at(edges, F.least(a + s, most))), a + s).otherwise(a))
     rows = df.withColumn("__v", F.coalesce(value.cast("long"), F.lit(0))).withColumn("__r", place)
     by = ["__r", *([group] if group else [])]
     totals = rows.groupBy(*by).agg(F.sum("__v").alias("__t"))

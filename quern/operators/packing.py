@@ -2,35 +2,76 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quern.functions import text as T
 from quern.operators.ordered import prefix_sum
+from quern.sources.writers import stored
 
+#: Words of a vocabulary up to which it is sent to every worker (12 bytes a word); a larger one is joined.
+SENT = 4_000_000
 
-def word_vocabulary(df: DataFrame, text: Column) -> DataFrame:
-    """word, id: words by falling count, then by word, numbered from 0. The vocabulary is far smaller than the corpus."""
-    counts = df.select(F.explode(T.words(text)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("id", F.row_number().over(Window.orderBy(F.col("n").desc(), "word")) - 1).select("word", "id", "n")
 
+def word_vocabulary(df: DataFrame, text: Column) -> DataFrame:
+    """word, id, n: words by falling count, then by word, numbered from 0. Null texts have no words.
 
-def encode_words(df: DataFrame, id_col: str, text: Column, vocabulary: DataFrame, out: str = "ids") -> DataFrame:
-    """id_col and out: the ids of a document's words, in order. Documents without words have no row."""
-    rows = df.select(id_col, F.posexplode(T.words(text)).alias("pos", "word")).join(vocabulary.select("word", "id"), "word")
-    return rows.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias(out))
+    The counts are sorted in parallel and numbered part by part, from how many words the parts before have.
+    """
+    counts = df.select(F.explode(T.words(text)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    rows = stored(counts.orderBy(F.col("n").desc(), "word").withColumn("__at", F.monotonically_increasing_id()), "vocabulary")
+    part = F.shiftright("__at", 33)
+    sizes = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()  # a row for each part
+    before, starts = 0, []
+    for r in sizes:
+        starts += [F.lit(r["part"]), F.lit(before)]
+        before += r["n"]
+    start = F.create_map(*starts)[part] if starts else F.lit(0)
+    return rows.select("word", (start + F.col("__at").bitwiseAND((1 << 33) - 1)).cast("int").alias("id"), "n")
+
+
+def encode_words(df: DataFrame, id_col: str, text: Column, vocabulary: DataFrame, out: str = "ids", carry: tuple[str, ...] = (), sent: int = SENT) -> DataFrame:
+    """id_col, carry and out: the ids of a row's words, in order; words that the vocabulary lacks are left out.
+
+    Rows that have no such word, null texts among them, are left out. Every other row stays, with ids null or repeated. A
+    vocabulary of up to sent words goes to the workers as sorted hashes, so no word is shuffled; a larger one is joined with the words.
+    """
+    keep = list(dict.fromkeys([id_col, *carry]))
+    if vocabulary.count() <= sent:
+        known = vocabulary.select(F.xxhash64("word").alias("h"), "id").toPandas()
+        order = np.argsort(known["h"].to_numpy(np.int64), kind="stable")
+        hashes, ids = known["h"].to_numpy(np.int64)[order], known["id"].to_numpy(np.int32)[order]
+        if not (hashes[1:] == hashes[:-1]).any():  # else two words share a hash
+            shared = df.sparkSession.sparkContext.broadcast((hashes, ids))
+
+            def look(column: pa.Array) -> pa.Array:
+                h, number = shared.value
+                first = column.offsets.to_numpy()
+                words = column.values.to_numpy()[first[0] : first[-1]]
+                at = np.minimum(np.searchsorted(h, words), max(0, len(h) - 1))
+                there = h[at] == words if len(h) else np.zeros(len(words), bool)
+                bounds = np.concatenate([[0], np.cumsum(there)])[first - first[0]]
+                return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(number[at][there] if len(h) else np.zeros(0, np.int32)))
+
+            found = F.arrow_udf(look, "array<int>")(F.coalesce(F.transform(T.words(text), lambda x: F.xxhash64(x)), F.array().cast("array<bigint>")))
+            return df.select(*keep, found.alias(out)).where(F.size(out) > 0)
+    row = F.xxhash64(id_col, text)
+    words = df.select(*keep, row.alias("__row"), F.posexplode(T.words(text)).alias("__pos", "__word"))
+    joined = words.join(vocabulary.select(F.col("word").alias("__word"), F.col("id").alias("__id")), "__word")
+    return joined.groupBy("__row", *keep).agg(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__id"))), lambda x: x["__id"]).alias(out)).drop("__row")
 
 
 def chunks(df: DataFrame, ids: str, length: int, carry: list[str]) -> DataFrame:
-    """Full chunks of each document, the rest left out: carry, chunk (number in the document) and input_ids."""
+    """Full chunks of each document, the rest left out: carry, chunk (number in the document) and input_ids. Null ids have none."""
     n = F.floor(F.size(ids) / length).cast("int")
     pieces = F.when(n >= 1, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(F.col(ids), i * length + 1, length))).otherwise(F.array().cast("array<array<int>>"))
     return df.select(*carry, F.posexplode(pieces).alias("chunk", "input_ids"))
 
 
 def chunk_stats(df: DataFrame, ids: str, length: int) -> DataFrame:
-    """Documents, tokens, chunks and tokens left out."""
+    """Documents, tokens, chunks and tokens left out; null without documents, but for their number."""
     n = F.size(ids)
     return df.agg(F.count(F.lit(1)).alias("docs"), F.sum(n).alias("tokens"), F.sum(F.floor(n / length)).cast("long").alias("chunks"), F.sum(n % length).alias("discarded"))
 
@@ -38,16 +79,19 @@ def chunk_stats(df: DataFrame, ids: str, length: int) -> DataFrame:
 def across_documents(df: DataFrame, id_col: str, ids: str, length: int) -> DataFrame:
     """All documents one after another, by id, in blocks: block and input_ids; the unfinished last block is dropped.
 
-    Each document cuts itself where blocks end, given the tokens before it; a block gathers its pieces.
+    Each document cuts itself where blocks end, given the tokens before it; a block gathers its pieces. Only lengths
+    are ordered and summed, beside the row. Null ids come first; of rows that repeat an id, the one with lesser tokens.
     """
-    rows = prefix_sum(df.select(id_col, ids), id_col, F.size(ids), "__before").where(F.size(ids) > 0)
+    rows = stored(df.select(id_col, ids).where(F.size(ids) > 0), "tokens")
+    rows = prefix_sum(rows, id_col, F.size(ids), "__before", then=[ids])
     first, last = F.floor(F.col("__before") / length), F.floor((F.col("__before") + F.size(ids) - 1) / length)
     parts = rows.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.lit(0), F.col("block") * length - F.col("__before"))
     end = F.least(F.size(ids), (F.col("block") + 1) * length - F.col("__before"))
     parts = parts.select("block", F.col("__before").alias("b"), F.slice(ids, (begin + 1).cast("int"), (end - begin).cast("int")).alias("piece"))
-    whole = parts.groupBy("block").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("b", "piece"))), lambda x: x["piece"])).alias("input_ids"))
-    return whole.where(F.size("input_ids") == length)
+    whole = parts.where(F.size("piece") == length).select("block", F.col("piece").alias("input_ids"))  # from one document: nothing to gather
+    split = parts.where(F.size("piece") < length).groupBy("block").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("b", "piece"))), lambda x: x["piece"])).alias("input_ids"))
+    return whole.unionByName(split.where(F.size("input_ids") == length))
 
 
 def whole_shards(blocks: DataFrame, per_shard: int) -> DataFrame:
@@ -65,3 +109,14 @@ def split_tokens(total: int, ratio: float, chunk: int) -> tuple[int, int]:
     """Chunks of the first and of the second language for a token total."""
     first = int(total * ratio)
     return first // chunk, (total - first) // chunk
+
+
+def mixture(chunked: DataFrame, order: str, lang: str, quotas: dict[str, int]) -> DataFrame:
+    """The first chunks of each language by (order, chunk), up to its quota, with part, the language's place in quotas: parts are read one after another.
+
+    One language, a pair, three or all of them: quotas says. Languages without a quota go, one that has fewer chunks isn't filled up.
+    """
+    names = list(quotas)
+    quota = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])[F.col(lang)]
+    rows = prefix_sum(chunked.where(F.col(lang).isin(names)), order, F.lit(1), "ordinal", group=lang, then=["chunk"])
+    return rows.where(F.col("ordinal") < quota).withColumn("part", F.array_position(F.array(*map(F.lit, names)), F.col(lang)) - 1)

@@ -73,13 +73,21 @@ def fit_topics(df: DataFrame, vector: str, k: int = 200, rounds: int = 20, seed:
 
 
 def nearest_centroid(df: DataFrame, vector: str, centroids: list[list[float]], out: str = "topic") -> DataFrame:
-    """df with the place of the centroid of least Euclidean distance; ties go to the first. Rows by centroids is one matrix product for each batch."""
+    """df with the place of the centroid of least Euclidean distance; ties go to the first. Rows by centroids is one matrix product for each batch.
+
+    Null without a vector, and everywhere if there are no centroids.
+    """
+    if not centroids:
+        return df.withColumn(out, F.lit(None).cast("bigint"))
     at = np.asarray(centroids, np.float64)
     norm = (at * at).sum(axis=1)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            x = np.stack(s.to_numpy()).astype(np.float64) if len(s) else np.zeros((0, at.shape[1]))
-            yield pd.Series((norm - 2 * (x @ at.T)).argmin(axis=1).astype(np.int64))
+            there = s.notna().to_numpy()
+            x = np.stack(s[there].to_numpy()).astype(np.float64) if there.any() else np.zeros((0, at.shape[1]))
+            found = pd.Series(pd.NA, index=range(len(s)), dtype="Int64")
+            found[there] = (norm - 2 * (x @ at.T)).argmin(axis=1).astype(np.int64)
+            yield found
 
     return df.withColumn(out, F.pandas_udf(run, "bigint")(F.col(vector)))

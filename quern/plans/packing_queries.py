@@ -10,7 +10,6 @@ from quern.functions import text as T
 from quern.operators import packing as P
 from quern.operators import tokenize as K
 from quern.operators import verify as V
-from quern.operators.ordered import one_after_another
 from quern.plans.queries import _CHUNKS, _IDW, _STATUS, _grams, docs, encoded, index, joined, text
 from quern.plans.registry import register
 from quern.sources import writers as S
@@ -67,9 +66,7 @@ def pck3(s, d):
 @register("pck4_whole_shards", f"{_ACROSS} SELECT block, input_ids FROM bl WHERE block < (SELECT count(*) FROM bl) // 1000 * 1000")
 def pck4(s, d):
     blocks = P.across_documents(encoded(s, d), "doc_id", "ids", LENGTH)
-    path = S.scratch(s, "blocks")
-    blocks.write.parquet(path)
-    return P.whole_shards(s.read.parquet(path), 1000).select("block", joined("input_ids").alias("input_ids"))
+    return P.whole_shards(S.stored(blocks, "blocks"), 1000).select("block", joined("input_ids").alias("input_ids"))
 
 
 @register("pck5_stats", f"{_IDW} SELECT count(*) AS docs, sum(len(ids))::BIGINT AS tokens, sum(len(ids) // {LENGTH})::BIGINT AS chunks, sum(len(ids) % {LENGTH})::BIGINT AS discarded FROM tok")
@@ -77,11 +74,34 @@ def pck5(s, d):
     return P.chunk_stats(encoded(s, d), "ids", LENGTH)
 
 
-@register("pck6_mixtures", f"{_CHUNKS} SELECT lang, chunks, {LENGTH} * chunks AS tokens FROM (SELECT lang, count(*) AS chunks FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id, chunk) AS k FROM chunks WHERE lang IN ('en', 'fr')) WHERE k <= CASE lang WHEN 'en' THEN 300 ELSE 100 END GROUP BY lang)")
+def _mixture_sql(quotas):
+    kept = " ".join(f"WHEN '{k}' THEN {n}" for k, n in quotas.items())
+    part = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(quotas))
+    names = ", ".join(f"'{k}'" for k in quotas)
+    return f"SELECT '{'-'.join(sorted(quotas))}' AS mixture, (CASE lang {part} END)::BIGINT AS part, lang, count(*) AS chunks, {LENGTH} * count(*) AS tokens FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id, chunk) AS k FROM chunks WHERE lang IN ({names})) WHERE k <= CASE lang {kept} END GROUP BY lang"
+
+
+#: One language, pairs, three, all, and a small pilot: chunks of each, and their order.
+MIXTURES = [{"en": 400}, {"en": 300, "fr": 100}, {"de": 100, "en": 300}, {"en": 200, "fr": 100, "es": 100}, {"es": 20, "de": 20, "fr": 20, "en": 20}, {"fr": 5}]
+
+
+@register("pck6_mixtures", f"{_CHUNKS} " + " UNION ALL ".join(map(_mixture_sql, MIXTURES)))
 def pck6(s, d):
-    rows = encoded(s, d)
-    parts = [P.chunk_quota(P.chunks(rows.where(F.col("lang") == lang), "ids", LENGTH, ["doc_id", "lang"]), "doc_id", quota) for lang, quota in (("en", 300), ("fr", 100))]
-    return V.summary(one_after_another(parts, "ordinal"), LENGTH, ["lang"])
+    rows = S.stored(P.chunks(encoded(s, d), "ids", LENGTH, ["doc_id", "lang"]), "chunks")
+    out = None
+    for quotas in MIXTURES:
+        one = V.summary(P.mixture(rows, "doc_id", "lang", quotas), LENGTH, ["part", "lang"])
+        one = one.select(F.lit("-".join(sorted(quotas))).alias("mixture"), "part", "lang", "chunks", "tokens")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("snk6_resumed_chunks", f"{_CHUNKS} SELECT 'src_' || doc_id // 100 AS shard, doc_id, chunk, array_to_string(input_ids, ',') AS input_ids FROM chunks")
+def snk6(s, d):
+    """A first run that wrote some shards only, then one that adds the rest."""
+    rows = S.stored(_chunks(s, d).withColumn("shard", F.concat(F.lit("src_"), F.floor(F.col("doc_id") / 100).cast("string"))), "chunks")
+    S.write_chunks(rows.where("shard IN ('src_0', 'src_2')"), path := S.scratch(s, "resumed"), "shard")
+    return S.write_chunks(rows, path, "shard").select("shard", "doc_id", F.col("chunk").cast("long").alias("chunk"), joined("input_ids").alias("input_ids"))
 
 
 @register("ver1_chunk_length", f"{_CHUNKS} SELECT count(*) AS chunks, sum((len(input_ids) <> {LENGTH})::INT)::BIGINT AS wrong FROM chunks")
@@ -97,9 +117,7 @@ def ver2(s, d):
 @register("ver3_recheck", f"{_CHUNKS}, dec AS (SELECT doc_id, chunk, list(word ORDER BY pos) AS w FROM (SELECT doc_id, chunk, unnest(input_ids) AS id, unnest(range({LENGTH})) AS pos FROM chunks) JOIN vocab USING (id) GROUP BY doc_id, chunk), ix AS (SELECT DISTINCT unnest({_grams(13)}) AS gram FROM b), hit AS (SELECT DISTINCT doc_id, chunk FROM (SELECT doc_id, chunk, unnest({_grams(13)}) AS gram FROM dec) JOIN ix USING (gram)) SELECT (SELECT count(*) FROM dec) AS chunks, (SELECT count(*) FROM hit) AS contaminated")
 def ver3(s, d):
     decoded = V.decode_words(_chunks(s, d), ["doc_id", "chunk"], "input_ids", P.word_vocabulary(docs(s, d), text()))
-    path = S.scratch(s, "decoded")
-    decoded.write.parquet(path)
-    return V.recheck(s.read.parquet(path), ["doc_id", "chunk"], index(s, d))
+    return V.recheck(S.stored(decoded, "decoded"), ["doc_id", "chunk"], index(s, d))
 
 
 @register("ver4_summary", f"{_CHUNKS} SELECT lang, count(*) AS chunks, {LENGTH} * count(*) AS tokens FROM chunks GROUP BY lang")

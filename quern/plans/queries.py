@@ -47,10 +47,7 @@ def clean_docs(s: SparkSession, d: str) -> DataFrame:
     return D.with_status(docs(s, d).withColumn("text", T.normalize(text())), index(s, d), "doc_id", text()).where("status = 'clean'").drop("status")
 
 
-def stored(df, name: str):
-    """df, written to the shared folder: an order-dependent operator reads its input more than once."""
-    df.write.parquet(path := S.scratch(df.sparkSession, name))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+stored = S.stored
 
 
 # Sources
@@ -62,15 +59,19 @@ def src1(s, d):
     return part("en").unionByName(part("fr"))
 
 
-@register("src2_shard_scan", "SELECT doc_id, text FROM documents")
+@register("src2_shard_scan", "SELECT doc_id, text, 'docs_' || lpad(CAST(doc_id // 100 AS VARCHAR), 5, '0') AS shard FROM documents WHERE doc_id // 100 NOT IN (1, 4)")
 def src2(s, d):
-    return R.shards(s, f"{d}/documents.parquet", ["doc_id", "text"], done=["already-done.parquet"]).select("doc_id", "text")
+    path = S.scratch(s, "shards")
+    S.write_shards(docs(s, d).select("doc_id", "text", F.format_string("docs_%05d", F.floor(F.col("doc_id") / 100)).alias("shard")), path)
+    return R.shards(s, path, ["doc_id", "text"], done=s.createDataFrame([("docs_00001",), ("docs_00004",), (None,)], "shard string"))
 
 
 @register("src3_partition_scan", "SELECT doc_id, lang, doc_id % 12 AS topic, row_number() OVER (ORDER BY CAST(doc_id % 12 AS VARCHAR), doc_id) AS place FROM documents WHERE lang = 'en'")
 def src3(s, d):
-    rows = docs(s, d).select("doc_id", "lang", (F.col("doc_id") % 12).alias("topic")).where("lang = 'en'")
-    seat = F.array_position(F.array(*[F.lit(x) for x in sorted(map(str, range(12)))]), F.col("topic").cast("string"))
+    path = S.scratch(s, "hive")
+    S.write_hive(docs(s, d).select("doc_id", "lang", (F.col("doc_id") % 12).alias("topic")), path)
+    rows = R.hive_partitions(s, path, "en", ["doc_id"])
+    seat = F.array_position(F.array(*[F.lit(x) for x in sorted(map(str, range(12)))]), F.col("topic_order"))
     return O.dense_ids(rows.withColumn("k", seat * F.lit(1 << 40) + F.col("doc_id")), "k", "place").select("doc_id", "lang", "topic", (F.col("place") + 1).alias("place"))
 
 
@@ -98,10 +99,20 @@ def src7(s, d):
     return R.benchmark_texts(table(s, d, "benchmark"), ["text"], "default").unionByName(R.benchmark_texts(table(s, d, "part"), ["p_name", "p_brand"], "pairs")).unionByName(R.benchmark_texts(table(s, d, "region"), ["r_name"], "any", longer=5))
 
 
-@register("src8_treebanks", "SELECT source, count(*) AS n FROM documents WHERE trim(text) <> '' AND source IN ('src0', 'src1', 'src2') GROUP BY source")
+@register("src7_modes", "SELECT 'flores' AS bench, unnest([p_name, p_type]) AS text FROM part UNION ALL SELECT 'all/region', r_name FROM region UNION ALL SELECT 'all/nation', n_name FROM nation UNION ALL SELECT 'langs/en', text FROM documents WHERE lang = 'en' UNION ALL SELECT 'langs/fr', text FROM documents WHERE lang = 'fr' UNION ALL SELECT 'split', text FROM documents WHERE lang IN ('de', 'es') UNION ALL SELECT 'any/benchmark', text FROM benchmark UNION ALL SELECT 'any/region', r_name FROM region UNION ALL SELECT 'any/customer', c_mktsegment FROM customer WHERE length(c_mktsegment) > 5")
+def src7_modes(s, d):
+    part, region, nation = (table(s, d, x) for x in ("part", "region", "nation"))
+    rows = docs(s, d).select("lang", "text")
+    out = R.benchmark({"devtest": part.select(F.col("p_name").alias("eng"), F.col("p_type").alias("fra"), "p_partkey")}, "flores", "flores", langs=["eng", "fra", "deu"])
+    out = out.unionByName(R.benchmark({"region": region.withColumnRenamed("r_name", "name"), "nation": nation.withColumnRenamed("n_name", "name")}, "all_configs", "all", ["name"]))
+    out = out.unionByName(R.benchmark({x: rows.where(F.col("lang") == x) for x in ("en", "fr", "es")}, "per_lang", "langs", ["text"], ["en", "fr", "xx"]))
+    out = out.unionByName(R.benchmark({"all": rows}, "split_per_lang", "split", ["text"], ["de", "es"]))
+    return out.unionByName(R.benchmark({"benchmark": table(s, d, "benchmark"), "region": region, "customer": table(s, d, "customer").select("c_custkey", "c_mktsegment")}, "any_text", "any"))
+
+
+@register("src8_treebanks", "SELECT source, count(*) AS n FROM documents WHERE trim(text) <> '' GROUP BY source")
 def src8(s, d):
-    parts = [R.nonblank(docs(s, d).where(F.col("source") == x), "text") for x in ("src0", "src1", "src2")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return R.nonblank(docs(s, d), "text").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("src9_whole_files", f"WITH f AS (SELECT item_id % 4 AS file, string_agg(text, chr(10) ORDER BY item_id) AS text FROM benchmark GROUP BY 1), b AS (SELECT file, {_W} AS w FROM f) SELECT DISTINCT unnest({_grams(13)}) AS gram FROM b")
@@ -153,11 +164,25 @@ def snk1(s, d):
     return _sharded(s, d).select("doc_id", "dense_id", "shard", "words")
 
 
+@register("snk1_shard_files", f"{_IDS} SELECT doc_id, dense_id, text, CAST(words AS INT) AS word_count, shard FROM sh")
+def snk1_files(s, d):
+    rows = stored(clean_docs(s, d).select("doc_id", "text", T.word_count(text()).alias("word_count")), "clean")
+    S.write_shards(S.sharded(rows, "doc_id", F.lit("all"), per_shard=100), path := S.scratch(s, "shards"))
+    return s.read.parquet(path).select("doc_id", "dense_id", "text", "word_count", F.col("shard").cast("string").alias("shard"))
+
+
 @register("snk2_manifest", f"{_IDS} SELECT shard, min(dense_id) AS first_doc_id, max(dense_id) AS last_doc_id FROM sh GROUP BY shard")
 def snk2(s, d):
     return S.manifest(_sharded(s, d))
 
 
+@register("snk10_held_out_shards", "SELECT doc_id, held_id, 'held_out_' || lpad(CAST(held_id // 30 AS VARCHAR), 5, '0') AS shard, text FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 - 100 AS held_id FROM documents) WHERE held_id >= 0 AND held_id < 80")
+def snk10(s, d):
+    held = O.skip_then_take(docs(s, d).select("doc_id", "text"), "doc_id", 100, 80)
+    S.write_shards(held.withColumn("shard", F.format_string("held_out_%05d", F.floor(F.col("held_id") / 30))), path := S.scratch(s, "held-out"))
+    return s.read.parquet(path).select("doc_id", "held_id", F.col("shard").cast("string").alias("shard"), "text")
+
+
 @register("snk5_index_manifest", "SELECT lang, doc_id % 10 AS topic, count(*) AS n_docs FROM documents GROUP BY 1, 2")
 def snk5(s, d):
     return S.index_manifest(docs(s, d).withColumn("topic", F.col("doc_id") % 10), ["lang", "topic"])
@@ -285,9 +310,9 @@ def dec6(s, d):
 _SCAN = f"{_WORDS}, g AS (SELECT doc_id, unnest(list_distinct({_grams(13)})) AS gram FROM w), q AS (SELECT item_id, unnest(list_distinct({_grams(13)})) AS gram FROM b), h AS (SELECT item_id, doc_id, count(*) AS n_overlaps, min(gram) AS first_gram FROM g JOIN q USING (gram) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY doc_id) AS k, string_split(first_gram, ' ')[1] AS word FROM h)"
 
 
-@register("dec7_corpus_scan", f"{_SCAN} SELECT item_id, doc_id, n_overlaps, first_gram, {_SNIPPET} AS context FROM r JOIN documents USING (doc_id) WHERE k <= 10 AND item_id = 1")
+@register("dec7_corpus_scan", f"{_SCAN} SELECT item_id, doc_id, n_overlaps, first_gram, {_SNIPPET} AS context FROM r JOIN documents USING (doc_id) WHERE k <= 10")
 def dec7(s, d):
-    return D.scan_corpus(docs(s, d), table(s, d, "benchmark").where("item_id = 1"), "doc_id", text(), "item_id", text())
+    return D.scan_corpus(docs(s, d), table(s, d, "benchmark"), "doc_id", text(), "item_id", text())
 
 
 @register("dec8_remote_scan", f"{_SCAN} SELECT item_id, doc_id, n_overlaps FROM r WHERE k <= 5")
@@ -328,7 +353,7 @@ _CHUNKS = f"{_IDW}, ch AS (SELECT doc_id, lang, unnest(range(len(ids) // 64)) AS
 
 def encoded(s, d):
     rows = docs(s, d)
-    return P.encode_words(rows, "doc_id", text(), P.word_vocabulary(rows, text())).join(rows.drop("text"), "doc_id")
+    return P.encode_words(rows, "doc_id", text(), P.word_vocabulary(rows, text()), carry=("lang", "source"))
 
 
 def joined(c):

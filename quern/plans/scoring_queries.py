@@ -62,20 +62,24 @@ def heu5(s, d):
     return docs(s, d).select("doc_id", H.repetition_ratio(T.words(text())).alias("repetition_ratio"))
 
 
+def _measured(s, d):
+    return H.measured(docs(s, d).select("doc_id", "lang", "text"), text(), F.col("lang"))
+
+
 @register("heu6_gate", f"{_HEU} SELECT doc_id, passes FROM hp")
 def heu6(s, d):
-    return docs(s, d).select("doc_id", H.passes(text(), F.col("lang")).alias("passes"))
+    return _measured(s, d).select("doc_id", "passes")
 
 
 @register("heu7_stats", f"{_HEU} SELECT doc_id, stopword_density, grade, sentence_length, letters_in_word, script_consistency, repetition_ratio, passes FROM hp")
 def heu7(s, d):
-    return docs(s, d).select("doc_id", *[c.alias(k) for k, c in H.stats(text(), F.col("lang")).items()])
+    return _measured(s, d).select("doc_id", *H.MEASURES)
 
 
 @register("heu8_reject_rate", f"{_HEU} SELECT lang, count(*) AS docs, sum(passes::INT)::BIGINT AS kept, 1 - sum(passes::INT) / count(*) AS reject_rate FROM hp GROUP BY lang")
 def heu8(s, d):
-    kept = F.sum(H.passes(text(), F.col("lang")).cast("long"))
-    return docs(s, d).groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), kept.alias("kept")).withColumn("reject_rate", 1 - F.col("kept") / F.col("docs"))
+    rows = _measured(s, d).groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("passes").cast("long")).alias("kept"))
+    return rows.withColumn("reject_rate", 1 - F.col("kept") / F.col("docs"))
 
 
 # Educational rules
@@ -162,8 +166,7 @@ def edu10(s, d):
 
 @register("edu11_tier", f"{_PLAIN} SELECT doc_id, tier FROM e5")
 def edu11(s, d):
-    rows = docs(s, d).select("doc_id", E.learner_level(text()).alias("level"), E.toxic_hits(text()).alias("hits"), E.educational_score(text()).alias("score"))
-    return rows.select("doc_id", E.tier(F.col("level"), F.col("hits") == 0, F.col("score")).alias("tier"))
+    return E.measured(docs(s, d).select("doc_id", "text"), text()).select("doc_id", "tier")
 
 
 _FUNNEL = rf"""{_GRAMS.replace("FROM documents)", "FROM (SELECT * REPLACE (" + _MASK + " AS text) FROM documents))", 1)}, src AS (SELECT doc_id, lang, {_MASK} AS text FROM documents), {_EDU},
@@ -316,12 +319,19 @@ def snk4(s, d):
     return s.read.parquet(path).groupBy("lang", F.col("topic").cast("long").alias("topic")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-@register("snk8_json_tiers", f"{_PLAIN} SELECT tier, doc_id, text FROM e5")
+@register("snk8_json_tiers", f"{_PLAIN} SELECT sink, tier, doc_id, text FROM e5, (SELECT unnest(['full', 'final', 'tiers']) AS sink) WHERE sink = 'full' OR hits < 3")
 def snk8(s, d):
-    path = S.scratch(s, "tiers")
-    rows = docs(s, d).select("doc_id", "text", E.learner_level(text()).alias("level"), E.toxic_hits(text()).alias("hits"), E.educational_score(text()).alias("score"))
-    S.write_json(rows.select("doc_id", "text", E.tier(F.col("level"), F.col("hits") == 0, F.col("score")).alias("tier")), path, ["tier"])
-    return s.read.schema("doc_id BIGINT, text STRING, tier STRING").json(path)
+    rows = E.measured(docs(s, d).select("doc_id", "text"), text()).select("doc_id", "text", "tier", "toxic_hits")
+    S.write_tiers(rows, path := S.scratch(s, "tiers"), "tier", F.col("toxic_hits") < 3)
+    read = lambda sink: s.read.schema("doc_id BIGINT, text STRING, tier STRING").json(f"{path}/{sink}").select(F.lit(sink).alias("sink"), "tier", "doc_id", "text")
+    return read("full").unionByName(read("final")).unionByName(read("tiers"))
+
+
+@register("snk8_stats", f"{_PLAIN} SELECT tier, count(*) AS docs, sum((hits < 3)::INT)::BIGINT AS kept FROM e5 GROUP BY tier")
+def snk8_stats(s, d):
+    rows = E.measured(docs(s, d).select("doc_id", "text"), text()).select("doc_id", "tier", "toxic_hits")
+    S.write_tiers(rows, path := S.scratch(s, "tiers"), "tier", F.col("toxic_hits") < 3)
+    return s.read.schema("tier STRING, docs BIGINT, kept BIGINT").json(f"{path}/stats")
 
 
 @register("snk9_annotation_lines", f"WITH {_ANN} SELECT doc_id, lang, quality_score FROM a")

@@ -15,17 +15,36 @@ def documents(df: DataFrame, text: str = "text", url: str = "url") -> DataFrame:
     return df.select(*rest, pick(text).alias("text"), pick(url).alias("url"))
 
 
+def spread(df: DataFrame, least: int = 1 << 20) -> DataFrame:
+    """df, which reads files, in as many parts as there are cores, where it has fewer and least bytes or more: a file of one row group is one task otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size >= least and df.rdd.getNumPartitions() < cores else df
+
+
 def first_string_column(df: DataFrame) -> str:
     """The text column of a source that doesn't say: its first string column."""
     return next(n for n, t in df.dtypes if t == "string")
 
 
-def shards(spark: SparkSession, path: str, columns: list[str], done: list[str] = ()) -> DataFrame:
-    """Parquet shards but those named in done, with their file's name; only columns are read."""
+def shards(spark: SparkSession, path: str, columns: list[str], done: DataFrame | None = None) -> DataFrame:
+    """Parquet shards but those whose name is in done (column shard), with their name: the directory shard=NAME if there is one, else the file's.
+
+    Only columns are read. A null in done names nothing. Shards come in no order: sort by (shard, a key) where order matters.
+    """
     df = spark.read.parquet(path)
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    name = F.col("shard").cast("string") if "shard" in df.columns else F.element_at(F.split(F.input_file_name(), "/"), -1)
     out = df.select(*columns, name.alias("shard"))
-    return out.where(~F.col("shard").isin(list(done))) if done else out
+    return out if done is None else out.join(done.select("shard").where("shard IS NOT NULL").distinct(), "shard", "left_anti").select(*columns, "shard")
+
+
+def hive_partitions(spark: SparkSession, path: str, lang: str, columns: list[str]) -> DataFrame:
+    """Rows below lang=LANG/topic=N of a Hive layout, with lang, topic and topic_order, the topic as text, by which topics are read: 0, 1, 10, 11, 2.
+
+    Only that language's directories are listed and read. A language without a directory gives no rows.
+    """
+    rows = spark.read.parquet(path).where(F.col("lang") == lang)
+    return rows.select(*columns, "lang", F.col("topic").cast("long").alias("topic"), F.col("topic").cast("string").alias("topic_order"))
 
 
 def json_lines(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
@@ -52,6 +71,39 @@ def benchmark_texts(df: DataFrame, columns: list[str], name: str, longer: int =
     return rows.where((F.trim("text") != "") & (F.length("text") > longer))
 
 
+#: How benchmarks keep their texts.
+MODES = ("default", "flores", "all_configs", "per_lang", "split_per_lang", "any_text")
+
+
+def benchmark(tables: dict[str, DataFrame], mode: str, name: str, columns: list[str] = (), langs: list[str] = ()) -> DataFrame:
+    """bench and text of a benchmark that is one or more tables (configs, by name), in one of MODES.
+
+    default: columns of the first table; flores: a column for each of langs, named after it; all_configs: columns of every table;
+    per_lang: of the tables of langs; split_per_lang: of the rows of the first table whose lang is among langs; any_text: every
+    column in whose first rows is a longer text, or if there is none the second column, texts of more than five characters.
+    Blank and null values are left out, a language or table that isn't there is skipped. bench is name, for several tables name and table.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {MODES}")
+    first = next(iter(tables.values()))
+    if mode == "default":
+        return benchmark_texts(first, columns, name)
+    if mode == "flores":
+        return benchmark_texts(first, [x for x in langs if x in first.columns], name)
+    if mode == "split_per_lang":
+        return benchmark_texts(first.where(F.col("lang").isin(list(langs))), columns, name)
+    parts = []
+    for table, df in tables.items():
+        if mode == "per_lang" and table not in langs:
+            continue
+        found = text_columns(df) if mode == "any_text" else columns
+        parts.append(benchmark_texts(df, found, f"{name}/{table}") if found else benchmark_texts(df, df.columns[1:2], f"{name}/{table}", longer=5))
+    out = first.sparkSession.createDataFrame([], "bench string, text string")
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
 def text_columns(df: DataFrame, rows: int = 10, longer: int = 10) -> list[str]:
     """String columns that hold a text of more than some characters in the first rows."""
     strings = [n for n, t in df.dtypes if t == "string"]
