@@ -66,7 +66,8 @@ def clean(c: Column) -> Column:
 
 
 def length_status(c: Column, least: int = 200, most: int = 100_000) -> Column:
-    return F.when(F.length(c) < least, "too_short").when(F.length(c) > most, "too_long").otherwise("ok")
+    """too_short, too_long or ok; a null text is too short."""
+    return F.when(c.isNull() | (F.length(c) < least), "too_short").when(F.length(c) > most, "too_long").otherwise("ok")
 
 
 def words(c: Column) -> Column:

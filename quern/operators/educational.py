@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import education as E
+from quern.functions import heuristics as H
 from quern.functions import text as T
 from quern.operators import decontamination as D
 from quern.sources.writers import stored
@@ -20,13 +21,41 @@ OUTCOMES = ("bad_length", "duplicate", "language", "code_mix", "toxic", "contami
 
 
 def language_score(c: Column, target: Column, detector: Detector | None = None) -> Column:
-    """Struct of lang and score: the mean over the detector's models, lowered where one is unsure. Without a detector, the target and 1."""
+    """Struct of lang and score: the mean over the detector's models, lowered where one is unsure. Without a detector, the target and 1.
+
+    A model that finds another language than target scores 0; a null text has no score.
+    """
     if detector is None:
         return F.struct(target.alias("lang"), F.lit(1.0).alias("score"))
-    votes = detector(F.substring(c, 1, 1000))
-    scores = F.transform(votes, lambda v: F.when(v["lang"] == target, v["score"]).otherwise(0.0))
-    mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.size(scores), F.lit(1))
-    return F.struct(F.get(votes, 0)["lang"].alias("lang"), F.when(F.exists(scores, lambda x: x < 0.5), mean * 0.7).otherwise(mean).alias("score"))
+
+    def ensemble(votes: Column) -> Column:
+        scores = F.transform(votes, lambda v: F.when(v["lang"] == target, v["score"]).otherwise(0.0))
+        mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.size(scores), F.lit(1))
+        return F.struct(F.get(votes, F.lit(0))["lang"].alias("lang"), F.when(F.exists(scores, lambda x: x < 0.5), mean * 0.7).otherwise(mean).alias("score"))
+
+    return T.let(detector(F.substring(c, 1, 1000)), ensemble)
+
+
+def stopword_detector(languages: tuple[str, ...] = ("en", "fr", "de", "es")) -> Detector:
+    """Two models from function words: the share of hits that the best language has, and the logistic function of its lead over the next.
+
+    A detector that needs no library. Ties go to the language named first; a text without function words has score 0 in the first and 0.5 in the second.
+    """
+
+    def detect(c: Column) -> Column:
+        def votes(w: Column) -> Column:
+            hits = F.array(*[F.struct((-F.size(F.filter(w, lambda x: x.isin(H.STOPWORDS[lang])))).alias("n"), F.lit(i).alias("at"), F.lit(lang).alias("lang")) for i, lang in enumerate(languages)])
+            return T.let(F.array_sort(hits), two)
+
+        def two(s: Column) -> Column:
+            total = F.aggregate(s, F.lit(0), lambda a, x: a - x["n"])
+            lead = s[1]["n"] - s[0]["n"]
+            one = lambda score: F.struct(s[0]["lang"].alias("lang"), score.alias("score"))
+            return F.array(one(F.when(total > 0, -s[0]["n"] / total).otherwise(F.lit(0.0))), one(F.round(1 / (1 + F.exp(-lead.cast("double"))), 9)))
+
+        return T.let(T.words(c), votes)
+
+    return detect
 
 
 def is_code_mixed(c: Column, target: Column, detector: Detector | None = None, most: int = 20, share: float = 0.3) -> Column:

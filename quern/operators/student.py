@@ -10,36 +10,69 @@ import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions import text as T
+
 #: Fewer documents than this are no training set.
 LEAST = 100
 
 
+def embedding(c: Column, dims: int = 64, longest: int = 512, normalized: bool = True) -> Column:
+    """A vector of a text's first characters: how often words fall into each of dims buckets by MD5, scaled to unit length.
+
+    It stands in for a sentence encoder, which isn't part of this library. A null text, or one without words, is all zeros.
+    """
+    bucket = lambda x: F.conv(F.substring(F.md5(x), 1, 4), 16, 10).cast("int") % dims
+    counts = T.let(F.transform(F.coalesce(T.words(F.substring(c, 1, longest)), F.array().cast("array<string>")), bucket), lambda b: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.size(F.filter(b, lambda x: x == k)).cast("double")))
+    if not normalized:
+        return counts
+    return T.let(counts, lambda v: T.let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(0.0))))
+
+
 @dataclass
 class Student:
-    """A ridge head, and logistic heads by name."""
+    """A ridge head, logistic heads by name, and what scales their features, if anything."""
 
     ridge: Model
     heads: dict[str, Model]
+    scaler: Model | None = None
+
+    def features(self, df: DataFrame, vector: str) -> DataFrame:
+        rows = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
+        return rows if self.scaler is None else self.scaler.transform(rows.withColumnRenamed("features", "__raw")).drop("__raw")
 
 
-def train_student(df: DataFrame, vector: str, score: str, classes: dict[str, str], alpha: float = 1.0) -> Student:
-    """Ridge regression of score, and a logistic regression for each of classes (name: label column)."""
-    rows = df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
+def train_student(df: DataFrame, vector: str, score: str, classes: dict[str, str], alpha: float = 1.0, scaled: bool = False) -> Student:
+    """Ridge regression of score, and a logistic regression for each of classes (name: label column); features brought to mean 0 and deviation 1 if scaled.
+
+    Rows without a vector or a score aren't learned from; fewer than LEAST others are an error.
+    """
+    df = df.where(F.col(vector).isNotNull() & F.col(score).isNotNull())
+    student = Student(None, {})
+    if scaled:
+        raw = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("__raw"))
+        if raw.isEmpty():
+            raise ValueError(f"0 documents are too few to learn from; {LEAST} are needed")
+        student.scaler = StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True).fit(raw)
+    rows = student.features(df, vector)
     n, spread = rows.agg(F.count(F.lit(1)), F.stddev_pop(score)).first()
     if n < LEAST:
         raise ValueError(f"{n} documents are too few to learn from; {LEAST} are needed")
+    if scaled:  # its deviation divides by n - 1
+        alpha = alpha * (n - 1) / n
     reg = alpha * (spread or 1.0) / n
     ridge = LinearRegression(featuresCol="features", labelCol=score, regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal", predictionCol="quality").fit(rows.withColumn(score, F.col(score).cast("double")))
-    heads = {}
+    heads = student.heads
     for name, label in classes.items():
         fit = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=100, predictionCol=name, rawPredictionCol=f"__raw_{name}", probabilityCol=f"__p_{name}")
         heads[name] = fit.fit(rows.withColumn(label, F.col(label).cast("double")))
-    return Student(ridge, heads)
+    student.ridge = ridge
+    return student
 
 
 def clipped(score: Column, low: float = 0.0, high: float = 5.0) -> Column:
@@ -48,7 +81,7 @@ def clipped(score: Column, low: float = 0.0, high: float = 5.0) -> Column:
 
 def score_documents(df: DataFrame, vector: str, student: Student) -> DataFrame:
     """df with quality, clipped, each head's class, and p_<head>, its probability of the last class."""
-    out = student.ridge.transform(df.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))).withColumn("quality", clipped(F.col("quality")))
+    out = student.ridge.transform(student.features(df, vector)).withColumn("quality", clipped(F.col("quality")))
     for name, head in student.heads.items():
         out = head.transform(out).withColumn(f"p_{name}", F.element_at(vector_to_array(f"__p_{name}"), -1)).drop(f"__raw_{name}", f"__p_{name}")
     return out.drop("features")

@@ -111,15 +111,29 @@ def edu1(s, d):
     return docs(s, d).select("doc_id", E.toxic_hits(text()).alias("hits"), E.toxicity(text()).alias("toxicity"), (E.toxicity(text()) < 0.7).alias("passes"))
 
 
-@register("edu2_language_score", "SELECT doc_id, lang AS detected, 1.0::DOUBLE AS score FROM documents")
+def _votes_sql(w: str) -> str:
+    """SQL of the detector: the languages' hits, best first, as [{n, at, lang}]."""
+    langs = ("en", "fr", "de", "es")
+    hits = ", ".join(f"{{'n': -len(list_filter({w}, lambda x: list_contains({_list(H.STOPWORDS[x])}, x))), 'at': {i}, 'lang': '{x}'}}" for i, x in enumerate(langs))
+    return f"list_sort([{hits}])"
+
+
+_ENSEMBLE = "CASE WHEN s[1].lang <> lang THEN 0.0 ELSE (CASE WHEN share < 0.5 OR squash < 0.5 THEN 0.7 ELSE 1.0 END) * ((share + squash) / 2) END::DOUBLE"
+_DETECT = "share AS (SELECT *, CASE WHEN total > 0 THEN -s[1].n / total ELSE 0.0 END::DOUBLE AS share, round(1 / (1 + exp(-(s[2].n - s[1].n)::DOUBLE)), 9) AS squash FROM (SELECT *, -list_sum(list_transform(s, lambda x: x.n)) AS total FROM v))"
+
+
+@register("edu2_language_score", f"WITH v AS (SELECT doc_id, lang, {_votes_sql('w')} AS s FROM (SELECT doc_id, lang, {_W.replace('text', 'left(text, 1000)')} AS w FROM documents)), {_DETECT} SELECT doc_id, s[1].lang AS detected, {_ENSEMBLE} AS score FROM share")
 def edu2(s, d):
-    found = U.language_score(text(), F.col("lang"))
-    return docs(s, d).select("doc_id", found["lang"].alias("detected"), found["score"].alias("score"))
+    found = U.language_score(text(), F.col("lang"), U.stopword_detector())
+    return docs(s, d).select("doc_id", found.alias("f")).select("doc_id", F.col("f.lang").alias("detected"), F.col("f.score").alias("score"))
+
 
+_SPLIT = r"list_filter(list_transform(string_split_regex(text, '[.!?]'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: length(x) > 40)[1:20]"
 
-@register("edu3_code_mix", "SELECT doc_id, false AS mixed FROM documents")
+
+@register("edu3_code_mix", f"WITH p AS (SELECT doc_id, lang, unnest({_SPLIT}) AS part FROM documents), v AS (SELECT doc_id, lang, {_votes_sql('w')} AS s FROM (SELECT doc_id, lang, {_W.replace('text', 'left(part, 1000)')} AS w FROM p)), {_DETECT}, m AS (SELECT doc_id, count(*) AS n, sum(({_ENSEMBLE} < 0.7)::INT) AS other FROM share GROUP BY doc_id) SELECT doc_id, coalesce(other > 0.3 * n, false) AS mixed FROM documents LEFT JOIN m USING (doc_id)")
 def edu3(s, d):
-    return docs(s, d).select("doc_id", U.is_code_mixed(text(), F.col("lang")).alias("mixed"))
+    return docs(s, d).select("doc_id", U.is_code_mixed(text(), F.col("lang"), U.stopword_detector()).alias("mixed"))
 
 
 @register("edu4_educational_score", f"{_PLAIN} SELECT doc_id, score FROM e3")
@@ -191,7 +205,7 @@ def edu13_tiers(s, d):
 @register("edu14_ridge_scorer")
 def edu14(s, d):
     rows = table(s, d, "embeddings").select("vec_id", "embedding", (F.col("label") / 2).alias("score"))
-    return M.score_documents(rows, "embedding", M.train_student(rows, "embedding", "score", {})).select("vec_id", "score", "quality")
+    return M.score_documents(rows, "embedding", M.train_student(rows, "embedding", "score", {}, scaled=True)).select("vec_id", "score", "quality")
 
 
 # Annotations and features
@@ -249,6 +263,16 @@ def fea5_topics(s, d):
 # Models and topics
 
 
+_BUCKET = "('0x' || left(md5(x), 4))::INT % 32"
+
+
+@register("mdl1_encoder", f"WITH w AS (SELECT doc_id, list_transform({_W.replace('text', 'left(text, 512)')}, lambda x: {_BUCKET}) AS b FROM documents), c AS (SELECT doc_id, list_transform(range(32), lambda k: len(list_filter(b, lambda x: x = k))) AS n FROM w) SELECT doc_id, array_to_string(n, ',') AS counts, sqrt(list_sum(list_transform(n, lambda x: x * x)))::DOUBLE AS norm, len(n) AS dims FROM c")
+def mdl1_encoder(s, d):
+    """The encoder's vectors, given by whole counts and their length."""
+    v = docs(s, d).select("doc_id", M.embedding(text(), 32, normalized=False).alias("n"))
+    return v.select("doc_id", F.array_join(F.transform("n", lambda x: x.cast("long").cast("string")), ",").alias("counts"), F.sqrt(F.aggregate("n", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"), F.size("n").cast("long").alias("dims"))
+
+
 @register("mdl1_training_rows", f"WITH {_ANN} SELECT doc_id, quality_score, vocab_complexity::INT AS vocab_complexity, engagement::INT AS engagement FROM a WHERE text <> ''")
 def mdl1(s, d):
     return C.feature_rows(_annotated(s, d), docs(s, d)).where("text <> ''").select("doc_id", "quality_score", F.col("vocab_complexity").cast("int").alias("vocab_complexity"), F.col("engagement").cast("int").alias("engagement"))
@@ -302,9 +326,9 @@ def clu2(s, d):
     return _stats(s, d).select("lang", "topic", "count", F.round("avg_quality", 3).alias("avg_quality"), "level_1", "level_2", "level_3")
 
 
-@register("clu3_language_index", f"{_STATS} SELECT lang, topics, docs, avg_quality FROM lg")
+@register("clu3_language_index", f"{_STATS.replace('WITH ', 'WITH ' + _HEU[5:] + ', ', 1)}, rj AS (SELECT lang, 1 - sum(passes::INT) / count(*) AS reject_rate FROM hp GROUP BY lang) SELECT lang, topics, docs, avg_quality, reject_rate FROM lg JOIN rj USING (lang)")
 def clu3(s, d):
-    return C.index_totals(_stats(s, d), "lang")
+    return C.index_totals(_stats(s, d), "lang").join(heu8(s, d).select("lang", "reject_rate"), "lang")
 
 
 @register("clu4_corpus_totals", f"{_STATS} SELECT count(*) AS languages, sum(docs)::BIGINT AS docs, sum(topics)::BIGINT AS topics FROM lg")
