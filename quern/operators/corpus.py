@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -78,6 +82,9 @@ def memorization(df: DataFrame, id_col: str, text: Column, counts: DataFrame, n:
     return df.select(id_col).join(per, id_col, "left").select(id_col, F.coalesce("grams", F.lit(0)).alias("grams"), F.coalesce("repeated", F.lit(0)).alias("repeated")).withColumn("score", F.when(F.col("grams") > 0, F.col("repeated") / F.col("grams")).otherwise(0.0))
 
 
+#: An annotator gives a reply for a prompt, or None; what it raises counts as None.
+Annotator = Callable[[str], str | None]
+
 #: Groups of flags that an annotation has.
 ANNOTATION = "struct<readability:struct<elementary:boolean,middle:boolean,high:boolean>,comprehension:struct<easy:boolean,independent:boolean,low_difficulty:boolean>,vocabulary:struct<simple:boolean,complex:boolean,jargon:boolean,figurative:boolean>,pedagogy:struct<curriculum_relevant:boolean,level_appropriate:boolean,instructional:boolean>,engagement:struct<experiential:boolean,engaging:boolean,length_appropriate:boolean>,topic:struct<science:boolean,math:boolean,social_science:boolean,language:boolean>>"
 
@@ -134,6 +141,35 @@ def rule_annotation(c: Column) -> Column:
     )
 
 
+def annotated(df: DataFrame, text: Column, annotator: Annotator, calibration: Column | None = None, tries: int = 2, at_once: int = 32, out: str = "annotation") -> DataFrame:
+    """df with out: what the annotator replies to each text's prompt, as an annotation; null where it fails tries times.
+
+    A failure is an exception, None, or a reply that isn't a JSON object with at least one group; a code fence around it is fine. In each
+    task at_once prompts wait for replies at a time, so a slow service keeps its connections busy. A null text is asked about as an empty one. The
+    annotator travels to the workers, so it must be picklable; it may be asked again where a task is run again.
+    """
+
+    def ask(question: str) -> str | None:
+        for _ in range(tries):
+            try:
+                reply = annotator(question)
+            except Exception:  # noqa: BLE001
+                reply = None
+            if reply is not None and "{" in reply:
+                return reply
+        return None
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with ThreadPoolExecutor(at_once) as pool:
+            for s in batches:
+                yield pd.Series(list(pool.map(ask, s)), dtype=object)
+
+    reply = F.pandas_udf(run, "string")(prompt(text, calibration))
+    found = df.withColumn("__reply", reply).withColumn(out, F.from_json(T.fenced_json(F.col("__reply")), ANNOTATION))
+    groups = sum((F.col(out)[g].isNotNull().cast("int") for g in ("comprehension", "vocabulary", "pedagogy", "engagement", "topic")), F.col(out)["readability"].isNotNull().cast("int"))
+    return found.withColumn(out, F.when(groups > 0, F.col(out))).drop("__reply")
+
+
 PROMPT = "Judge the text for learners. Answer with one JSON object that has the groups readability, comprehension, vocabulary, pedagogy, engagement and topic, each with flags that are true or false.\n{calibration}\nText:\n{input_text}"
 
 

@@ -26,6 +26,21 @@ def _tokenizer(path: str):
     return _loaded[path]
 
 
+def finished(folder: str, prefix: str, languages: list[str]) -> str:
+    """The file of a finished tokenizer for a set of languages, whatever their order: folder/prefix-LANG-LANG.json.
+
+    Tokenizers aren't trained here, so a set without one is an error that names what there is.
+    """
+    there = {}
+    for name in sorted(os.listdir(folder)):
+        if name.startswith(f"{prefix}-") and name.endswith(".json"):
+            there.setdefault(tuple(sorted(name[len(prefix) + 1 : -5].split("-"))), os.path.join(folder, name))
+    key = tuple(sorted(set(languages)))
+    if key not in there:
+        raise FileNotFoundError(f"no tokenizer for {'-'.join(key)} in {folder}; there are {', '.join('-'.join(k) for k in there) or 'none'}")
+    return there[key]
+
+
 def encode(df: DataFrame, text: str, path: str, out: str = "ids") -> DataFrame:
     """df with out: token ids without special tokens; a null text gives null."""
     rest = [c for c in df.columns if c != out]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from quern.functions import education as E
@@ -228,6 +230,25 @@ def ann2(s, d):
     return _annotated(s, d).select("doc_id", F.to_json("annotation").alias("annotation"))
 
 
+def _judge(question: str) -> str | None:
+    """Stands in for a model: flags by words of the prompt, in a code fence; no reply about some texts, and an error about others."""
+    body = question.split("Text:\n", 1)[1]
+    if body.count("e") % 7 == 0:
+        raise TimeoutError
+    if body.count("e") % 7 == 1:
+        return None
+    return "```json\n" + json.dumps({"readability": {"elementary": len(body) < 900}, "topic": {"science": "on" in body, "math": False}}) + "\n```"
+
+
+_LEFT = "left(text, 2000)"
+
+
+@register("ann2_annotator", f"WITH p AS (SELECT doc_id, length({_LEFT}) AS n, (length({_LEFT}) - length(replace({_LEFT}, 'e', ''))) % 7 AS k, contains({_LEFT}, 'on') AS science FROM documents) SELECT doc_id, k > 1 AS answered, CASE WHEN k > 1 THEN (n < 900)::INT ELSE 0 END AS quality_score, CASE WHEN k > 1 AND science THEN 'science' ELSE 'other' END AS topic_label FROM p")
+def ann2_annotator(s, d):
+    rows = C.annotated(docs(s, d).select("doc_id", "text"), text(), _judge)
+    return rows.select("doc_id", F.col("annotation").isNotNull().alias("answered"), C.quality_score(F.col("annotation")).alias("quality_score"), C.topic_label(F.col("annotation")).alias("topic_label"))
+
+
 @register("fea1_quality", f"WITH {_ANN} SELECT doc_id, quality_score FROM a")
 def fea1(s, d):
     return _annotated(s, d).select("doc_id", C.quality_score(F.col("annotation")).alias("quality_score"))
