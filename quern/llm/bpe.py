@@ -201,14 +201,9 @@ def library_encoder(path: str = VOCABULARY) -> Encoder:
     return Encoder(lambda piece: one.encode_ordinary(piece.decode()))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(kind: str, path: str) -> Encoder:
-    """This process's encoder; made once, as a worker serves many tasks."""
-    if (kind, path) not in _encoders:
-        _encoders[kind, path] = {"queue": queue_encoder, "library": library_encoder}[kind](path)
-    return _encoders[kind, path]
+    """An encoder for a task. It isn't kept beyond: the vocabulary and the pieces would stay in every worker, whatever it does next."""
+    return {"queue": queue_encoder, "library": library_encoder}[kind](path)
 
 
 def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "tokens", count_col: str | None = None, path: str = VOCABULARY, kind: str = "queue", keep: bool = True) -> DataFrame:
@@ -246,7 +241,7 @@ def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "toke
                     columns.append(ids)
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *added])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(K.tidy(run), schema)
 
 
 class Decoder:
@@ -291,4 +286,4 @@ def with_text(df: DataFrame, tokens_col: str = "tokens", text_col: str = "decode
             texts = decode(tokens.values.to_numpy()[first[0] : first[-1]], first - first[0])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string(), mask=tokens.is_null().to_numpy(zero_copy_only=False))], [*batch.schema.names[:-1], text_col])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(K.tidy(run), schema)

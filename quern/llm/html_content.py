@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm import kernels as K
+
 #: Pages to learn from, at most, and characters of such a page; trees, their depth, rate of learning, bins of a feature.
 SAMPLE, LONGEST, TREES, DEPTH, RATE, BINS = 300, 200_000, 40, 3, 0.2, 32
 _TOKEN_SLOTS = 16
@@ -367,4 +369,4 @@ def extract(pages: DataFrame, model: Boosted, id_col: str = "page_id", html_col:
                 got = contents([t or "" for t in texts], trees)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([None if t is None else g[0] for t, g in zip(texts, got)], pa.string()), pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], pa.int32())], ["id", "content", "nodes", "content_nodes"])
 
-    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("h")).mapInArrow(run, f"id {kind}, content string, nodes int, content_nodes int").withColumnRenamed("id", id_col)
+    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("h")).mapInArrow(K.tidy(run), f"id {kind}, content string, nodes int, content_nodes int").withColumnRenamed("id", id_col)

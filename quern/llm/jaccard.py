@@ -36,7 +36,7 @@ N, THRESHOLD, RECALL = 3, 0.5, 0.99
 #: MinHash values kept of each set at least; sets compared by brute force at once; levels at most.
 SLOTS, SMALL, DEPTH = 64, 1500, 4
 #: n-grams of all sets compared at once, about; a set may have more.
-GRAMS = 4 << 20
+GRAMS = 1 << 20
 
 
 _SET = ["s1", "s2", "size"]
@@ -146,7 +146,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, slots: int) -
                     ["id", "s1", "s2", "size", "sig"],
                 )
 
-    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("t")).mapInArrow(run, "id long, s1 long, s2 long, size int, sig binary")
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("t")).mapInArrow(K.tidy(run), "id long, s1 long, s2 long, size int, sig binary")
 
 
 def _first_paths(reps: DataFrame, how: Scheme) -> DataFrame:
@@ -163,7 +163,7 @@ def _first_paths(reps: DataFrame, how: Scheme) -> DataFrame:
                     paths += _children(p, sig, how.branches)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(paths).view(np.int64)), pa.array(np.tile(batch.column(0).to_numpy(), len(paths)))], ["path", "id"])
 
-    return reps.select("id", "sig").mapInArrow(run, "path long, id long")
+    return reps.select("id", "sig").mapInArrow(K.tidy(run), "path long, id long")
 
 
 def _deeper(rows: DataFrame, how: Scheme) -> DataFrame:
@@ -172,7 +172,7 @@ def _deeper(rows: DataFrame, how: Scheme) -> DataFrame:
             paths = _children(batch.column(0).to_numpy().view(np.uint64), _signatures(batch.column(2), how.slots), how.branches)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(paths).view(np.int64)), pa.array(np.tile(batch.column(1).to_numpy(), how.branches))], ["path", "id"])
 
-    return rows.select("path", "id", "sig").mapInArrow(run, "path long, id long")
+    return rows.select("path", "id", "sig").mapInArrow(K.tidy(run), "path long, id long")
 
 
 def _counted(paths: DataFrame) -> DataFrame:
@@ -270,7 +270,7 @@ def _likely(lists: DataFrame, reps: DataFrame, how: Scheme, most: int = GRAMS) -
             first = np.concatenate([[0], np.cumsum([len(g) for g in out])]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([K.lists(np.concatenate(out) if out else np.zeros(0, np.int64), first, pa.int64())], ["ids"])
 
-    found = members.mapInArrow(run, "ids array<long>")
+    found = members.mapInArrow(K.tidy(run), "ids array<long>")
     return found.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
 
 
@@ -303,7 +303,7 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
 
     wanted = store.table(wanted, "wanted")
     likely = store.sieve(wanted.select("id"))
-    made = wanted.join(texts.where(likely(F.col("id"))), "id").select("id", "in_lists", "t").mapInArrow(sets, "id long, in_lists array<long>, s1 long, grams array<long>").where(F.size("grams") > 0)
+    made = wanted.join(texts.where(likely(F.col("id"))), "id").select("id", "in_lists", "t").mapInArrow(K.tidy(sets), "id long, in_lists array<long>, s1 long, grams array<long>").where(F.size("grams") > 0)
     groups = made.withColumn("list_id", F.explode("in_lists")).groupBy("list_id").agg(F.collect_list(F.struct("id", "in_lists", "s1", "grams")).alias("m"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +349,7 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
                 none = pa.nulls(len(one), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(one), none, pa.array(n_), none], ["doc_a", "doc_b", "shared", "total"])
 
-    return groups.mapInArrow(compare, "doc_a long, doc_b long, shared long, total long")
+    return groups.mapInArrow(K.tidy(compare), "doc_a long, doc_b long, shared long, total long")
 
 
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

@@ -7,7 +7,8 @@ in the JVM. Hashes are 64 bits wide and the same on every machine.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +40,31 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def release() -> None:
+    """Give memory that isn't used any more back to the system: workers live on after a task, one beside the other."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, and release when it has ended."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of uint64 values over all bits (the finaliser of SplitMix64)."""
     x = x ^ (x >> np.uint64(30))

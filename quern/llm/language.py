@@ -191,7 +191,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names[best], pa.string()), pa.array(score, pa.float64()), pa.array(own, pa.float64(), mask=np.isnan(own)), pa.array(accepted)], ["id", "lang", "language", "score", "label_score", "accepted"])
 
     kind = src.schema["id"].dataType.simpleString()
-    got = src.mapInArrow(run, f"id {kind}, lang string, language string, score double, label_score double, accepted boolean")
+    got = src.mapInArrow(K.tidy(run), f"id {kind}, lang string, language string, score double, label_score double, accepted boolean")
     return got.withColumnRenamed("lang", lang_col).withColumnRenamed("id", id_col)
 
 
@@ -208,4 +208,4 @@ def keep_accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_co
             part = batch.filter(pa.array(accepted))
             yield pa.RecordBatch.from_arrays(part.columns[:-1], batch.schema.names[:-1])
 
-    return docs.select("*", F.lower(text_col).alias("__lower")).mapInArrow(run, docs.schema)
+    return docs.select("*", F.lower(text_col).alias("__lower")).mapInArrow(K.tidy(run), docs.schema)

@@ -74,7 +74,7 @@ def repetition_coverage(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *map(pa.array, got)], ["__id", *names])
 
     kind = src.schema["__id"].dataType.simpleString()
-    got = src.mapInArrow(run, f"__id {kind}, " + ", ".join(f"{c} long" for c in names))
+    got = src.mapInArrow(K.tidy(run), f"__id {kind}, " + ", ".join(f"{c} long" for c in names))
     keep = F.col("dup_line_chars") <= F.lit(line_limit) * F.col("word_chars")
     for k in lengths:
         keep = keep & (F.col(f"dup{k}_chars") <= F.lit(limits[k]) * F.col("word_chars"))
@@ -102,4 +102,4 @@ def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 part = batch.slice(lo, hi - lo).filter(pa.array(good))
                 yield pa.RecordBatch.from_arrays(part.columns[:-1], batch.schema.names[:-1])
 
-    return carried.mapInArrow(run, schema)
+    return carried.mapInArrow(K.tidy(run), schema)
