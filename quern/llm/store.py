@@ -12,7 +12,9 @@ import gc
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
-_made: list[str] = []
+_made: dict[str, list[str]] = {}
+_owner = ContextVar("owner", default="")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
     """Bound what passes between the JVM and Python at once, by rows and bytes, unless the session sets a bound itself.
 
-    The defaults let a batch of texts or lists take hundreds of MB in either. A row beyond size goes alone.
+    The defaults let a batch of texts or lists take hundreds of MB in either. A row beyond size goes alone. This changes
+    the session's settings for all that it runs from then on; results are the same with any.
     """
     for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
         if spark.sparkContext.getConf().get(f"spark.sql.execution.arrow.{name}") is None:
@@ -51,10 +55,20 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) ->
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     path = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _made.setdefault(_owner.get(), []).append(path)
     return path
 
 
+@contextmanager
+def owned(name: str) -> Iterator[None]:
+    """Paths that new_path gives out inside are name's, and drop_tables(name) deletes no others."""
+    token = _owner.set(name)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+
+
 def fresh(spark: SparkSession, prefix: str) -> str:
     """A path beside prefix for a result that outlives drop_tables."""
     return f"{prefix}-{uuid.uuid4().hex}"
@@ -67,12 +81,13 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark: SparkSession) -> None:
-    """Delete what new_path gave out so far. Only for a caller that has written every result made from it."""
+def drop_tables(spark: SparkSession, owner: str) -> None:
+    """Delete what new_path gave out to owner so far. Only for a caller that has written every result made from it."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    made = _made.get(owner, [])
+    while made:
+        path = jvm.org.apache.hadoop.fs.Path(made.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
