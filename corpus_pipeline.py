@@ -6,6 +6,8 @@ DataFrame that the caller writes as Parquet and reads again as the next one's do
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import bpe, jaccard, language, packing, passages, quality, store
@@ -14,36 +16,60 @@ from quern.llm import bpe, jaccard, language, packing, passages, quality, store
 ORACLE_SQL = None
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language the classifier doesn't dispute."""
+_OWNER = "pipeline"
+
+
+def _begun(spark: SparkSession) -> AbstractContextManager[None]:
+    """What every stage begins with: bounds for batches; the tables of the stage before, whose result is written by now, go."""
     store.small_batches(spark)
-    return language.keep_accepted(docs, language.train(docs))
+    store.drop_tables(spark, _OWNER)
+    return store.owned(_OWNER)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose language the classifier doesn't dispute.
+
+    Null and empty texts go, and those without a known n-gram; a document whose label is null or unknown to the classifier stays. Rows are judged each on
+    its own, so null and repeated ids do no harm; an empty table stays empty; further columns are kept, whatever their names.
+    """
+    with _begun(spark):
+        return language.keep_accepted(docs, language.train(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that don't repeat themselves."""
-    store.small_batches(spark)
-    return quality.keep_quality(docs)
+    """Keeps documents that don't repeat themselves.
+
+    Null, empty and wordless texts stay: nothing repeats in them. Rows are judged each on its own; further columns are kept, whatever their names.
+    """
+    with _begun(spark):
+        return quality.keep_quality(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of exact or near copies."""
-    store.small_batches(spark)
-    return jaccard.keep_one_of_each_group(docs)
+    """Keeps one document of each group of exact or near copies, the one of least id.
+
+    Rows with a null id or without words stay; rows that repeat an id stay or go together. Further columns are kept, whatever their names.
+    """
+    with _begun(spark):
+        return jaccard.keep_one_of_each_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages that an earlier document has."""
-    store.small_batches(spark)
-    store.drop_tables(spark)  # those of the stage before, whose result is written by now
-    return passages.cut_passages(docs)
+    """Cuts passages that an earlier document, by id, has; a document of which nothing is left goes, n_chars is counted anew.
+
+    Rows with a null id or text stay as they are; of rows that repeat an id, only those with the least text are cut. Further columns are kept, whatever their names.
+    """
+    with _begun(spark):
+        return passages.cut_passages(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of tokens, and which part of which document comes where."""
-    store.small_batches(spark)
-    store.drop_tables(spark)
-    return packing.sequences(bpe.with_tokens(docs.select("doc_id", "text"), kind="library"))
+    """Sequences of tokens, and which part of which document comes where.
+
+    Every token of every row is in one sequence; null and empty texts have none, ids may be null or repeat, further columns are left out.
+    """
+    with _begun(spark):
+        return packing.sequences(bpe.with_tokens(docs.select("doc_id", "text"), kind="library"))
 
 
 STAGES = [("language ID", language_id), ("quality rules", quality_rules), ("n-gram Jaccard join", near_copies), ("substring dedup", repeated_passages), ("best-fit packing", packed)]
