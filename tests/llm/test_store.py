@@ -20,6 +20,16 @@ def test_tables_lie_in_the_shared_folder(spark):
     assert df.count() == 3 and "ExistingRDD" not in df._jdf.queryExecution().toString()
 
 
+def test_only_the_owners_tables_go(spark):
+    mine = store.table(spark.range(3).toDF("a"), "mine")
+    with store.owned("stage"):
+        other = store.table(spark.range(4).toDF("a"), "other")
+    store.drop_tables(spark, "stage")
+    assert mine.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|no such|not found"):
+        other.count()
+
+
 def test_large_rows_go_alone(spark):
     store.small_batches(spark)
     sizes = spark.range(40, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("t")).mapInArrow(lambda bs: (__import__("pyarrow").RecordBatch.from_arrays([__import__("pyarrow").array([b.num_rows])], ["n"]) for b in bs), "n long").collect()
@@ -42,5 +52,20 @@ def test_queries_run(spark, name):
 
     got = registry.queries()[name](spark, "/root/testdata/sf0.001")
     assert got.count() > 0
+    if name == "op5_best_fit_packing":  # every token of every document, by the library
+        import tiktoken
+
+        from quern.llm import bpe
+
+        one = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=bpe.load_ranks(), special_tokens={})
+        parts = {}
+        for r in got.collect():
+            at = 0
+            for i, start, n in zip(r["doc_ids"], r["starts"], r["lengths"]):
+                parts.setdefault(i, []).append((start, r["tokens"][at : at + n]))
+                at += n
+        for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
+            assert [t for _, p in sorted(parts.pop(r["doc_id"], [])) for t in p] == one.encode_ordinary(r["text"])
+        assert not parts
     if name == "op6_bpe_encode_decode":
         assert got.where("NOT restored").count() == 0
