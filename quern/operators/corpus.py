@@ -48,7 +48,10 @@ def hash_sample(df: DataFrame, id_col: str, group: str, per_group: int, seed: st
 
 
 def tiered_top(df: DataFrame, tier: str, score: str, order: str, total: int, weights: dict[str, float]) -> DataFrame:
-    """The best rows of each tier, int(total * weight) of them; a tier that has fewer isn't filled up from others."""
+    """The best rows of each tier, int(total * weight) of them; a tier that has fewer isn't filled up from others.
+
+    Ties go by order; null scores come last; a null tier, or one without a weight, has none.
+    """
     quota = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (k, int(total * w))])[F.col(tier)]
     rank = F.row_number().over(Window.partitionBy(tier).orderBy(F.col(score).desc(), F.col(order)))
     return df.withColumn("__rank", rank).where(F.col("__rank") <= F.coalesce(quota, F.lit(0))).drop("__rank")
@@ -75,7 +78,10 @@ def top_grams(counts: DataFrame, most: int = 500_000) -> DataFrame:
 
 
 def memorization(df: DataFrame, id_col: str, text: Column, counts: DataFrame, n: int = 5, least: int = 3) -> DataFrame:
-    """For each document its n-grams, those that the corpus has least times or more, and their share (0 without n-grams)."""
+    """For each document its n-grams, those that the corpus has least times or more, and their share (0 without n-grams).
+
+    Rows that repeat an id count as one document, in a row for each of them; a null id has 0. Null texts have no n-grams.
+    """
     own = df.select(id_col, F.explode(T.ngrams(T.words(text), n)).alias("gram")).groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("k"))
     known = counts.where(F.col("n") >= least).select("gram", F.lit(True).alias("often"))
     per = own.join(known, "gram", "left").groupBy(id_col).agg(F.sum("k").alias("grams"), F.sum(F.when(F.col("often"), F.col("k")).otherwise(0)).alias("repeated"))
@@ -181,7 +187,7 @@ def prompt(c: Column, calibration: Column | None = None, longest: int = 2000) ->
 
 
 def topic_stats(df: DataFrame, lang: str, topic: str, quality: str, level: str) -> DataFrame:
-    """For each language and topic: count, sum of quality, and documents of each difficulty."""
+    """For each language and topic, null ones too: count, sum of quality, and documents of each difficulty. Null qualities and levels don't count in their sums."""
     one = lambda k: F.sum((F.col(level) == k).cast("long"))
     return df.groupBy(lang, topic).agg(F.count(F.lit(1)).alias("count"), F.sum(quality).alias("quality_sum"), one(1).alias("level_1"), one(2).alias("level_2"), one(3).alias("level_3")).withColumn("avg_quality", F.col("quality_sum") / F.col("count"))
 

@@ -54,7 +54,10 @@ def word_budget(df: DataFrame, order: str, words: Column, target: int) -> DataFr
 
 
 def token_quota(df: DataFrame, order: str, tag: str, tokens: str, quotas: dict[str, int]) -> DataFrame:
-    """For each tag, tokens (array) up to its quota: the crossing row is cut, later ones go. Tags without quota go."""
+    """For each tag, tokens (array) up to its quota: the crossing row is cut, later ones go. Tags without quota go.
+
+    A null tag has no quota; null and empty arrays go; null orders come first. Rows that repeat an order come in any order.
+    """
     quota = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])[F.col(tag)]
     rows = prefix_sum(df.withColumn("__q", quota).where("__q IS NOT NULL"), order, F.size(tokens), "__before", group=tag)
     keep = F.least(F.size(tokens), F.greatest(F.lit(0), F.col("__q") - F.col("__before"))).cast("int")
@@ -85,12 +88,18 @@ def skip_then_take(df: DataFrame, order: str, skip: int, take: int) -> DataFrame
 
 
 def interleave(df: DataFrame, order: str, group: str, rank: Column) -> DataFrame:
-    """Round robin over groups: turn (from 0) and seat (rank of the group); sorted by them, a group that has run out is skipped."""
+    """Round robin over groups: turn (from 0) and seat (rank of the group); sorted by them, a group that has run out is skipped.
+
+    Null orders come first in their group, rows of one order in any order; a null group is a group. Columns turn and seat are replaced.
+    """
     return dense_ids(df, order, "turn", group=group).withColumn("seat", rank)
 
 
 def one_after_another(parts: list[DataFrame], order: str) -> DataFrame:
-    """Union of parts with part, to be read in order of (part, order): the first is exhausted before the second begins."""
+    """Union of parts with part, to be read in order of (part, order): the first is exhausted before the second begins.
+
+    Every row stays; parts have the same columns, whatever their order; an empty part keeps its number.
+    """
     out = None
     for i, p in enumerate(parts):
         p = p.withColumn("part", F.lit(i))
