@@ -18,6 +18,7 @@ from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +101,8 @@ def release(spark: SparkSession) -> None:
 #: Bits of the largest sieve; beyond what that serves, joins go without one.
 SIEVE_BITS = 1 << 29
 _PROBES = 3
+#: Words of a sieve (32 bits each) that are packed into one row.
+_PACKED = 1 << 14
 
 
 def sieve(ids: DataFrame) -> Callable[[Column], Column]:
@@ -115,9 +118,21 @@ def sieve(ids: DataFrame) -> Callable[[Column], Column]:
         return lambda c: F.lit(True)
     bits = min(SIEVE_BITS, max(1 << 10, 1 << (12 * n).bit_length()))
     at = F.explode(F.array(*[F.pmod(F.xxhash64(name, F.lit(i)), F.lit(bits)) for i in range(_PROBES)]))
-    words = ids.select(at.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit, 32) AS int))")).alias("mask")).toPandas()
-    table = np.zeros(bits // 32, np.uint32)
-    table[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).astype(np.uint32)
+    words = ids.select(at.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit, 32) AS int))")).alias("mask"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            word, mask = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint32)
+            for b in np.unique(word // _PACKED):
+                own = word // _PACKED == b
+                found.setdefault(int(b), np.zeros(_PACKED, np.uint32))[word[own] % _PACKED] = mask[own]
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["part", "bits"])
+
+    # the driver gets the table's own bytes, no rows of words
+    table = np.zeros(max(bits // 32, _PACKED), np.uint32)
+    for r in words.repartition(F.floor(F.col("word") / _PACKED)).mapInArrow(packed, "part long, bits binary").toLocalIterator():
+        table[r["part"] * _PACKED : (r["part"] + 1) * _PACKED] = np.frombuffer(r["bits"], np.uint32)
     sent = ids.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("boolean")

@@ -94,9 +94,12 @@ def archive(records: DataFrame, path: str, id_col: str = "record_id", record_col
 
 
 def restore(spark: SparkSession, path: str, id_col: str = "record_id", record_col: str = "record") -> DataFrame:
-    """Every archived record: id_col, digest, verified and record_col, its exact bytes."""
+    """Every archived record: id_col, digest, verified and record_col, its exact bytes.
+
+    A payload whose bytes don't give its digest any more is an error. Ids may be null or repeat: a row comes back for each that was archived.
+    """
     records, payloads = spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/payloads")
-    return records.join(payloads, "digest").select(id_col, "digest", "verified", F.concat("head", "payload", "tail").alias(record_col))
+    return records.join(payloads, "digest").select(id_col, "digest", "verified", F.when(F.sha2("payload", 256) == F.col("digest"), F.concat("head", "payload", "tail")).otherwise(F.raise_error(F.concat(F.lit("payload damaged: "), "digest"))).alias(record_col))
 
 
 def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
