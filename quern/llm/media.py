@@ -150,14 +150,14 @@ def decode_dc(raw: bytes) -> tuple[int, int, int, np.ndarray]:
                 scan, start = body, end
                 break
     hmax, vmax = max(f[1] for f in frame), max(f[2] for f in frame)
-    _, h, v, table = frame[0]
-    rows, cols = -(-height * v // (8 * vmax)), -(-width * h // (8 * hmax))
+    _, wide, tall, table = frame[0]
+    rows, cols = -(-height * tall // (8 * vmax)), -(-width * wide // (8 * hmax))
     by_id = {f[0]: f for f in frame}
     own = [(scan[1 + 2 * i], scan[2 + 2 * i]) for i in range(scan[0])]
     if any(ident not in by_id for ident, _ in own):
         raise BadJpeg("scan")
     if len(own) == 1:  # a component of its own comes block by block
-        h = v = 1
+        wide = tall = 1
         across, down = cols, rows
     else:
         across, down = -(-width // (8 * hmax)), -(-height // (8 * vmax))
@@ -212,7 +212,7 @@ def decode_dc(raw: bytes) -> tuple[int, int, int, np.ndarray]:
         raise BadJpeg("cut off")
     if table not in quant:
         raise BadJpeg("table missing")
-    grid = np.array(found, np.int64).reshape(down, across, v, h).transpose(0, 2, 1, 3).reshape(down * v, across * h)
+    grid = np.array(found, np.int64).reshape(down, across, tall, wide).transpose(0, 2, 1, 3).reshape(down * tall, across * wide)
     return width, height, len(frame), np.clip(np.floor(grid[:rows, :cols] * quant[table] / 8 + 128.5), 0, 255).astype(np.uint8)
 
 
