@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm import kernels as K
+from quern.llm import store
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How this vocabulary splits texts; split() does the same.
@@ -217,7 +218,7 @@ def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "toke
     """
     added = [*([count_col] if count_col else []), *([tokens_col] if keep else [])]
     rest = [c for c in docs.columns if c not in added]
-    src = docs.select(*[docs[c] for c in rest], F.col(text_col).alias("__text"))
+    src = docs.select(*[docs[c] for c in rest], F.col(text_col).alias(store.unused(rest, "__text")))
     schema = docs.select(*rest).schema
     for c in added:
         schema = schema.add(c, T.ArrayType(T.IntegerType()) if keep and c == tokens_col else T.IntegerType())
@@ -275,7 +276,7 @@ def with_text(df: DataFrame, tokens_col: str = "tokens", text_col: str = "decode
     that the vocabulary lacks is an error. What with_tokens made gives back the text exactly.
     """
     rest = [c for c in df.columns if c != text_col]
-    src = df.select(*rest, F.col(tokens_col).alias("__tokens"))
+    src = df.select(*rest, F.col(tokens_col).alias(store.unused(rest, "__tokens")))
     schema = df.select(*rest).schema.add(text_col, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -460,4 +460,5 @@ def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: st
     gone = same.select("id").unionByName(groups.where("a != label").select(F.col("a").alias("id")))
     gone = store.table(gone.distinct(), "gone")
     maybe = F.coalesce(store.sieve(gone)(docs[id_col]), F.lit(False)) & docs[id_col].isNotNull()
-    return docs.where(~maybe).unionByName(docs.where(maybe).join(gone.select(F.col("id").alias("__gone")), docs[id_col].cast("long") == F.col("__gone"), "left_anti"))
+    name = store.unused(docs.columns, "__gone")
+    return docs.where(~maybe).unionByName(docs.where(maybe).join(gone.select(F.col("id").alias(name)), docs[id_col].cast("long") == F.col(name), "left_anti"))

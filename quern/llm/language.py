@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quern.llm import kernels as K
+from quern.llm import store
 
 #: Labelled texts of each language, at most, and the least and greatest length in characters that is looked for first.
 SAMPLE, SHORTEST, LONGEST = 240, 200, 20_000
@@ -208,4 +209,4 @@ def keep_accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_co
             part = batch.filter(pa.array(accepted))
             yield pa.RecordBatch.from_arrays(part.columns[:-1], batch.schema.names[:-1])
 
-    return docs.select("*", F.lower(text_col).alias("__lower")).mapInArrow(K.tidy(run), docs.schema)
+    return docs.select("*", F.lower(text_col).alias(store.unused(docs.columns, "__lower"))).mapInArrow(K.tidy(run), docs.schema)

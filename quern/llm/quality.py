@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import kernels as K
+from quern.llm import store
 
 #: Share of word characters that may lie in repeated n-grams, by n, and in repeated lines.
 LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -89,7 +90,7 @@ def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lengths = sorted(limits)
     bound = [limits[k] for k in lengths] + [line_limit]
     schema = docs.schema
-    carried = docs.select("*", F.lower(text_col).alias("__lower"))
+    carried = docs.select("*", F.lower(text_col).alias(store.unused(docs.columns, "__lower")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

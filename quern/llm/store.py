@@ -53,6 +53,14 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) ->
             spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """name, or a longer one that is none of columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     path = f"{shared_dir(spark)}/quern/{name}-{uuid.uuid4().hex}"
