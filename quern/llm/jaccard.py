@@ -12,7 +12,8 @@ four times as many as all runs sample at their first level, or more.
 At 100 TB: what is shuffled for the search is a few narrow keys (16 bytes) for each
 distinct set and run; n-gram sets travel only for documents that share a bucket, once per
 distinct list of members. Equal sets are collapsed beforehand, so thousands of copies cost
-one row each. A bucket that stays large at the deepest level is compared block against
+one row each. The many buckets of one large family of near copies are put together, so that its
+pairs are compared once and not in each of them. What is large is compared block against
 block, which is exact and bounds what one task holds; its cost is the square of its distinct sets.
 Pairs are counted where they are found and never leave their task; a spanning forest does.
 """
@@ -37,6 +38,10 @@ N, THRESHOLD, RECALL = 3, 0.5, 0.99
 SLOTS, SMALL, DEPTH = 64, 1500, 4
 #: n-grams of all sets compared at once, about; a set may have more.
 GRAMS = 1 << 20
+#: Sets of a bucket whose signatures are held at once; sets of a list up to which it isn't put together with others.
+WHOLE, FEW = 1 << 15, 64
+#: Slots compared at once.
+_CELLS = 1 << 22
 
 
 _SET = ["s1", "s2", "size"]
@@ -187,15 +192,24 @@ def similar_in(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np
     m = len(sets)
     every = np.concatenate(sets)
     value, column = np.unique(every, return_inverse=True)
-    shared = np.bincount(column, minlength=len(value)) > 1
+    count = np.bincount(column, minlength=len(value))
     row = np.repeat(np.arange(m), size)
-    keep = shared[column]
-    place = (np.cumsum(shared) - 1)[column[keep]]
-    row = row[keep]
+    order = np.argsort(column, kind="stable")
+    row, first = row[order], np.cumsum(count) - count
     both = np.zeros((m, m), np.float32)
+    few = (count > 1) & (count <= m // 64)
+    for c in np.unique(count[few]):  # what few sets have is counted pair by pair
+        at = first[few & (count == c)]
+        x, y = np.triu_indices(int(c), 1)
+        for lo in range(0, len(at), max(1, (1 << 20) // len(x))):
+            some = row[at[lo : lo + max(1, (1 << 20) // len(x)), None] + np.arange(c)]
+            pair, times = np.unique(some[:, x] * m + some[:, y], return_counts=True)
+            both.reshape(-1)[pair] += times
+    shared = (count > 1) & ~few
+    keep = np.repeat(shared, count)
+    place = np.repeat(np.cumsum(shared) - 1, count)[keep]
+    row = row[keep]
     width = max(1, (4 << 20) // max(1, m))  # columns at once: 16 MB of floats at most
-    order = np.argsort(place, kind="stable")
-    place, row = place[order], row[order]
     n = int(shared.sum())
     for c in range(0, n, width):
         lo, hi = np.searchsorted(place, [c, c + width])
@@ -221,17 +235,19 @@ def _lists(reps: DataFrame, how: Scheme, small: int, depth: int) -> DataFrame:
         at = store.table(_counted(_deeper(over.join(reps.select("id", "sig"), "id"), how)), "paths")
         parts.append(at.where(F.col("members") <= small))
         level += 1
+    most = max(small, WHOLE)
+    parts.append(at.where((F.col("members") > small) & (F.col("members") <= most)))
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p)
     lists = whole.groupBy("path").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    over = at.where(F.col("members") > small)
+    over = at.where(F.col("members") > most)
     if not over.isEmpty():
-        blocks = F.ceil(F.col("members") / max(1, small // 2))
+        blocks = F.ceil(F.col("members") / max(1, most // 2))
         ranked = over.withColumn("block", F.pmod(F.xxhash64("id", "path"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).where("other != block")
         lists = lists.unionByName(ranked.groupBy("path", F.least("block", "other"), F.greatest("block", "other")).agg(F.sort_array(F.collect_list("id")).alias("ids")).select("path", "ids"))
     lists = lists.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
-    return _likely(lists, reps, how)
+    return _likely(lists, reps, how, small)
 
 
 def in_blocks(size: np.ndarray, most: int) -> list[np.ndarray]:
@@ -243,8 +259,33 @@ def in_blocks(size: np.ndarray, most: int) -> list[np.ndarray]:
     return [np.concatenate([cut[i], cut[j]]) for j in range(len(cut)) for i in range(j)]
 
 
-def _likely(lists: DataFrame, reps: DataFrame, how: Scheme, most: int = GRAMS) -> DataFrame:
-    """What lists connect after pairs with fewer than how.least slots in common are dropped: lists of sets worth comparing, cut up where they have more than most n-grams."""
+def alike(sig: np.ndarray, least: int) -> np.ndarray:
+    """Components of rows of which two are joined if they have least slots or more in common: for each row, the first of its component.
+
+    Rows that a component has already aren't compared with each other, so a family of near copies takes few steps.
+    """
+    label = np.full(len(sig), -1)
+    left = np.arange(len(sig))
+    while len(left):
+        first, left = left[0], left[1:]
+        label[first] = first
+        front = np.array([first])
+        while len(front) and len(left):
+            n = max(1, _CELLS // (len(left) * sig.shape[1]))
+            some, front = front[:n], front[n:]
+            hit = (np.count_nonzero(sig[some][:, None] == sig[left][None], axis=2) >= least).any(axis=0)
+            label[left[hit]] = first
+            front, left = np.concatenate([front, left[hit]]), left[~hit]
+    return label
+
+
+def _likely(lists: DataFrame, reps: DataFrame, how: Scheme, small: int, most: int = GRAMS) -> DataFrame:
+    """Lists of sets worth comparing, cut up where they have more than most n-grams or small sets."""
+    return _cut(_together(_connected(lists, reps, how)), small, most)
+
+
+def _connected(lists: DataFrame, reps: DataFrame, how: Scheme) -> DataFrame:
+    """What lists connect after pairs with fewer than how.least slots in common are dropped, with the sizes of the sets."""
     members = lists.select("list_id", F.explode("ids").alias("id")).join(reps.select("id", "size", "sig"), "id").groupBy("list_id").agg(F.collect_list(F.struct("id", "size", "sig")).alias("m")).select("m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,22 +296,56 @@ def _likely(lists: DataFrame, reps: DataFrame, how: Scheme, most: int = GRAMS) -
             sigs = _signatures(m.values.field(2), how.slots)
             out: list[np.ndarray] = []
             for lo, hi in zip(bounds[:-1], bounds[1:]):
-                agree = np.zeros((hi - lo, hi - lo), np.uint16)
-                for j in range(how.slots):
-                    v = sigs[lo:hi, j]
-                    agree += v[:, None] == v[None, :]
-                a, b = np.nonzero(np.triu(agree >= how.least, 1))
-                if not len(a):
-                    continue
-                root = _roots(a, b, hi - lo)
+                root = alike(sigs[lo:hi], how.least)
                 order = np.lexsort((ids[lo:hi], root))
-                for g in np.split(lo + order, np.flatnonzero(np.diff(root[order])) + 1):
-                    if len(g) > 1:
-                        out += [np.sort(ids[g[part]]) for part in in_blocks(size[g].astype(np.int64), most)]
+                out += [g for g in np.split(lo + order, np.flatnonzero(np.diff(root[order])) + 1) if len(g) > 1]
             first = np.concatenate([[0], np.cumsum([len(g) for g in out])]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([K.lists(np.concatenate(out) if out else np.zeros(0, np.int64), first, pa.int64())], ["ids"])
+            at = np.concatenate(out) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([K.lists(ids[at], first, pa.int64()), K.lists(size[at], first, pa.int32())], ["ids", "sizes"])
+
+    found = members.mapInArrow(K.tidy(run), "ids array<long>, sizes array<int>")
+    return found.select(F.xxhash64("ids").alias("list_id"), "ids", "sizes").dropDuplicates(["list_id"])
+
+
+def _together(lists: DataFrame) -> DataFrame:
+    """lists, of which those of more than FEW sets that share sets are one list, where all pairs of that are no more than the pairs of each of them."""
+    lists = store.table(lists, "likely")
+    n = F.size("ids").cast("long")
+    large = lists.where(n > FEW).select("list_id", F.col("ids")[0].alias("a"), n.alias("n"), F.arrays_zip("ids", "sizes").alias("m"))
+    if large.isEmpty():
+        return lists
+    members = large.select("a", F.explode("m").alias("m")).select(F.col("m.ids").alias("id"), F.col("m.sizes").alias("size"), "a")
+    labels = components(members.select(F.col("id").alias("a"), F.col("a").alias("b")))
+    by = large.join(labels, "a").select("list_id", "label", "n")
+    sets = labels.groupBy("label").agg(F.count(F.lit(1)).alias("sets"))
+    good = by.groupBy("label").agg(F.sum(F.col("n") * F.col("n")).alias("cost"), F.count(F.lit(1)).alias("lists")).join(sets, "label").where("lists > 1 AND sets * sets <= cost").select("label")
+    gone = store.table(by.join(good, "label").select("list_id", "label"), "gone")
+    one = members.select("id", "size").distinct().join(labels.join(gone.select("label").distinct(), "label").select(F.col("a").alias("id"), "label"), "id")
+    one = one.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("id", "size"))).alias("m")).select(F.xxhash64("m.id").alias("list_id"), F.col("m.id").alias("ids"), F.col("m.size").alias("sizes"))
+    return lists.join(gone, "list_id", "left_anti").unionByName(one)
+
+
+def _cut(lists: DataFrame, small: int, most: int) -> DataFrame:
+    def made(parts: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([K.lists(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int64())], ["ids"])
 
-    found = members.mapInArrow(K.tidy(run), "ids array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes = (c.values.to_numpy() for c in batch.columns)
+            bounds = batch.column(0).offsets.to_numpy()
+            out, n = [], 0
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                size = np.maximum(sizes[lo:hi].astype(np.int64), most // max(2, small))
+                for part in in_blocks(size, most):
+                    out.append(ids[lo:hi][part])
+                    n += len(part)
+                    if n > 1 << 17:
+                        yield made(out)
+                        out, n = [], 0
+            if out:
+                yield made(out)
+
+    found = lists.select("ids", "sizes").mapInArrow(K.tidy(run), "ids array<long>")
     return found.select(F.xxhash64("ids").alias("list_id"), "ids").dropDuplicates(["list_id"])
 
 
@@ -328,11 +403,7 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
                 tree = _forest(a, b, len(at)) if give != "pairs" else np.zeros(len(a), bool)
                 if give != "forest":
                     # A pair is given, or counted, by the least list that both are in.
-                    seen = [set(lv[lf[j] : lf[j + 1]].tolist()) for j in at]
-                    if all(len(x) == 1 for x in seen):
-                        own = np.ones(len(a), bool)
-                    else:
-                        own = np.array([min(seen[x] & seen[y]) == me for x, y in zip(a.tolist(), b.tolist())], bool)
+                    own = ~_before(me, [lv[lf[j] : lf[j + 1]] for j in at])[a, b]
                     if give == "pairs":
                         tree = own
                     else:
@@ -352,35 +423,35 @@ def _compared(docs: DataFrame, lists: DataFrame, id_col: str, text_col: str, n:
     return groups.mapInArrow(K.tidy(compare), "doc_a long, doc_b long, shared long, total long")
 
 
-def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The least member of each place's component."""
-    label = np.arange(n)
-    while True:
-        low = label.copy()
-        np.minimum.at(low, a, label[b])
-        np.minimum.at(low, b, label[a])
-        low = low[low]
-        if (low == label).all():
-            return label
-        label = low
+def _before(me: int, lists: list[np.ndarray]) -> np.ndarray:
+    """Which two members have a list less than me in common; lists: those of each member."""
+    n = len(lists)
+    out = np.zeros((n, n), bool)
+    value = np.concatenate(lists)
+    row = np.repeat(np.arange(n), [len(v) for v in lists])
+    less = value < me
+    value, row = value[less], row[less]
+    order = np.lexsort((row, value))
+    value, row = value[order], row[order]
+    for g in np.split(row, np.flatnonzero(np.diff(value)) + 1):
+        if len(g) > 1:
+            out[g[:, None], g] = True
+    return out
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Pairs that make up a spanning forest."""
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
     take = np.zeros(len(a), bool)
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        x, y = find(x), find(y)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            take[i] = True
+    pair = np.full((n, n), -1, np.int32)
+    pair[a, b] = pair[b, a] = np.arange(len(a))
+    left = np.unique(np.concatenate([a, b]))
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            by = pair[front[:, None], left].max(axis=0)
+            hit = by >= 0
+            take[by[hit]] = True
+            front, left = left[hit], left[~hit]
     return take
 
 

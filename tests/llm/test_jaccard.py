@@ -183,3 +183,36 @@ def test_components(spark):
 def test_runs_reach_the_recall():
     assert jaccard.runs_needed(0.5, 0.99) > 1
     assert jaccard.runs_needed(0.5, 0.999) >= jaccard.runs_needed(0.5, 0.9)
+
+
+def test_a_family_is_compared_once(spark):
+    """The buckets of a family of near copies are put together: each pair is in one list, or in a few of the blocks of one."""
+    base = [f"a{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[:i], f"z{i}", *base[i + 1 :]])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    how = jaccard.scheme(0.5, 0.99)
+    _, reps = jaccard._sketched(docs, "doc_id", "text", 3, how.slots)
+    for small, most in ((1500, 1), (40, 4)):
+        sizes = [len(r["ids"]) for r in jaccard._lists(reps, how, small, 4).where(F.size("ids") > jaccard.FEW if small > 200 else F.lit(True)).collect()]
+        assert sum(n * n for n in sizes) <= most * 200**2
+        got = jaccard.similar_classes(docs, small=small).collect()
+        assert {(r["class_id"], r["n_links"]) for r in got} == {(0, 199)} and len(got) == 200
+
+
+def test_families_of_rows_and_their_forest():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 40):
+        sig = rng.integers(0, 3, (n, 16)).astype(np.uint32)
+        near = (sig[:, None] == sig[None]).sum(axis=2) >= 9
+        label = np.arange(n)
+        for _ in range(n):
+            label = np.array([label[near[i]].min() for i in range(n)])
+        assert jaccard.alike(sig, 9).tolist() == label.tolist()
+        a, b = np.nonzero(np.triu(near, 1))
+        tree = jaccard._forest(a, b, n)
+        assert tree.sum() == n - len(set(label.tolist()))
+        joined = np.arange(n)
+        for _ in range(n):
+            for x, y in zip(a[tree], b[tree]):
+                joined[[x, y]] = min(joined[x], joined[y])
+        assert joined.tolist() == label.tolist()
