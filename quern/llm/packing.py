@@ -14,6 +14,7 @@ use the fitted mix.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm import kernels as K
 from quern.llm import store
 
 #: Tokens of a sequence; tokens of a bin; documents in a pattern at most; rows in a shard that packs lengths, tokens in one that packs token lists.
 CAPACITY, BIN, PARTS, SHARD_ROWS, SHARD_TOKENS = 2048, 32, 4, 200_000, 2 << 20
+#: Tokens of sequences that are put together at once.
+_TOKENS = 1 << 17
 
 
 def patterns(bins: int, parts: int = PARTS) -> np.ndarray:
@@ -185,21 +189,45 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens
     mix, rate, _, total = _mix(rows, capacity, width, parts)
     shards = max(1, math.ceil(total / shard_tokens))
 
-    def run(shard: pa.Table) -> pa.Table:
-        shard = shard.take(pc.sort_indices(shard, [("id", "ascending"), ("h", "ascending")])).combine_chunks()
-        tokens = shard["tokens"].combine_chunks()
-        row, start, size, where, _ = pack_shard(shard["n"].to_numpy().astype(np.int64), mix, rate, capacity, width)
-        first = tokens.offsets.to_numpy().astype(np.int64)[row] + start
-        last = np.cumsum(size)
-        flat = tokens.values.take(pa.array(np.repeat(first - last + size, size) + np.arange(last[-1])))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, parts = [], []
+        for batch in batches:
+            keys.append(batch.select(["shard", "id", "h", "n"]))
+            parts.append(batch["tokens"].flatten().to_numpy())
+        shard = pa.Table.from_batches(keys)
+        tokens = np.concatenate(parts)
+        del keys, parts
+        # the tokens stay where they are; only their places are sorted
+        order = pc.sort_indices(shard, [("id", "ascending"), ("h", "ascending")])
+        n = shard["n"].to_numpy().astype(np.int64)
+        place, n = (np.cumsum(n) - n)[order.to_numpy()], n[order.to_numpy()]
+        ids = shard["id"].take(order).combine_chunks()
+        row, start, size, where, _ = pack_shard(n, mix, rate, capacity, width)
         begin = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-        bounds = pa.array(np.append(begin, len(where)).astype(np.int32))
-        lists = lambda values: pa.ListArray.from_arrays(bounds, values)
-        ends = pa.array(np.append(last[begin] - size[begin], last[-1]).astype(np.int32))
-        return pa.table({"pack_id": (shard["shard"][0].as_py() << 32) + where[begin], "doc_ids": lists(shard["id"].combine_chunks().take(pa.array(row))), "starts": lists(pa.array(start)), "lengths": lists(pa.array(size.astype(np.int32))), "tokens": pa.ListArray.from_arrays(ends, flat)})
+        begin = np.append(begin, len(where))
+        most = max(1, _TOKENS // capacity)
+        for lo in range(0, len(begin) - 1, most):
+            some = begin[lo : lo + most + 1]
+            own = slice(some[0], some[-1])
+            first, many = place[row[own]] + start[own], size[own]
+            last = np.cumsum(many)
+            flat = tokens[np.repeat(first - last + many, many) + np.arange(last[-1])]
+            ends = np.append(0, last)[some - some[0]]
+            bounds = pa.array((some - some[0]).astype(np.int32))
+            lists = lambda values: pa.ListArray.from_arrays(bounds, values)  # noqa: B023, E731
+            pack_id = (shard["shard"][0].as_py() << 32) + where[some[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pack_id), lists(ids.take(pa.array(row[own]))), lists(pa.array(start[own])), lists(pa.array(many.astype(np.int32))), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))],
+                ["pack_id", "doc_ids", "starts", "lengths", "tokens"],
+            )
+
+    tidy = K.tidy(run)
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from tidy(batches)
 
     schema = f"pack_id long, doc_ids array<{kind}>, starts array<long>, lengths array<int>, tokens array<{item}>"
-    return rows.withColumn("shard", F.pmod("h", F.lit(shards))).groupBy("shard").applyInArrow(run, schema)
+    return rows.withColumn("shard", F.pmod("h", F.lit(shards))).groupBy("shard").applyInArrow(tidied, schema)
 
 
 def pack(sizes: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", capacity: int = CAPACITY, width: int = BIN, parts: int = PARTS, shard_rows: int = SHARD_ROWS) -> DataFrame:

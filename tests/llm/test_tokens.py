@@ -209,3 +209,14 @@ def test_least_squares():
 def test_patterns():
     found = {tuple(p) for p in packing.patterns(6, 3).tolist()}
     assert found == {(0, 0, 0, 0, 0, 1), (1, 0, 0, 0, 1, 0), (0, 1, 0, 1, 0, 0), (0, 0, 2, 0, 0, 0), (2, 0, 0, 1, 0, 0), (1, 1, 1, 0, 0, 0), (0, 3, 0, 0, 0, 0)}
+
+
+def test_sequences_are_put_together_in_parts(spark, monkeypatch):
+    """A worker gives out a shard's sequences some at a time; they are the same however many."""
+    rows = [(i % 40, list(range(i, i + 1 + i * 37 % 700))) for i in range(300)] + [(None, list(range(5000))), (7, []), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, tokens ARRAY<INT>")
+    whole = {r["pack_id"]: tuple(r) for r in packing.sequences(docs).collect()}
+    monkeypatch.setattr(packing, "_TOKENS", 4096)
+    table = packing.sequences(docs)
+    assert {r["pack_id"]: tuple(r) for r in table.collect()} == whole
+    assert sum(len(r[4]) for r in whole.values()) == sum(len(t or []) for _, t in rows)
