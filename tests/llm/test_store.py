@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,19 @@ def test_queries_run(spark, name):
         assert not parts
     if name == "op6_bpe_encode_decode":
         assert got.where("NOT restored").count() == 0
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    """What a table was made of goes from disk when it is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    files = lambda: {f.getName() for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())}
+    there = files()
+    kept = spark.range(10_000).repartition(4, "id")
+    rows = store.table(kept, "brief")
+    for _ in range(50):
+        if not (left := {f for f in files() - there if f.startswith("shuffle_")}):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert rows.count() == kept.count() == 10_000 and spark.conf.get(name) == before
