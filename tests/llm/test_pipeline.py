@@ -3,7 +3,7 @@ import collections
 import pytest
 
 import corpus_pipeline as P
-from quern.llm import bpe, language, packing, store
+from quern.llm import bpe, jaccard, language, packing, store
 from quern.llm.quality import LIMITS, LINE_LIMIT
 from tests.llm.test_jaccard import brute as brute_pairs
 from tests.llm.test_passages import WORD
@@ -132,3 +132,15 @@ def test_exact_stages_join_all_classes(spark):
     rows = variants()
     cut = {r["doc_id"]: len(r["text"].split()) for r in stage(spark, table(spark, rows), "").collect()}
     assert cut[0] == 160 and all(cut[i] <= 120 for i in range(1, 40))
+
+
+def test_near_copies_compare_a_family_once(spark, monkeypatch):
+    """Stage 3 compares a family of near copies in a few lists, not in each of its buckets, and keeps its least id."""
+    base = [f"a{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[:i], f"z{i}", *base[i + 1 :]])) for i in range(150)]
+    seen = []
+    made = jaccard._lists
+    monkeypatch.setattr(jaccard, "_lists", lambda *a: seen.append(store.table(made(*a), "seen")) or seen[0])
+    kept = P.near_copies(spark, spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), "").collect()
+    assert [r["doc_id"] for r in kept] == [0]
+    assert sum(len(r["ids"]) > 64 for r in seen[0].collect()) == 1
