@@ -133,10 +133,13 @@ def split(points: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes batches of texts; remembers the tokens of up to CACHED pieces."""
+    """Encodes batches of texts; remembers the tokens of up to CACHED pieces.
 
-    def __init__(self, encode_piece: Callable[[bytes], list[int]], cached: int = CACHED) -> None:
-        self.encode_piece, self.cached = encode_piece, cached
+    encode_pieces gives the tokens of all pieces, one after another, and how many each has.
+    """
+
+    def __init__(self, encode_pieces: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], cached: int = CACHED) -> None:
+        self.encode_pieces, self.cached = encode_pieces, cached
         self._forget()
 
     def _forget(self) -> None:
@@ -146,10 +149,8 @@ class Encoder:
         self.pool = np.zeros(1 << 16, np.int32)
         self.used = 0
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        tokens = [self.encode_piece(p) for p in pieces]
-        size = np.array([len(t) for t in tokens], np.int32)
-        flat = np.fromiter((t for ts in tokens for t in ts), np.int32, int(size.sum()))
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        flat, size = self.encode_pieces(pieces)
         if self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(self.used, len(flat)) + 1, np.int32)])
         self.pool[self.used : self.used + len(flat)] = flat
@@ -178,7 +179,7 @@ class Encoder:
         known[inside] = self.key[place[inside]] == keys[inside]
         new = np.flatnonzero(~known)
         if len(new):
-            self._learn(keys[new], [text[a:b].encode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+            self._learn(keys[new], [text[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
             place = np.searchsorted(self.key, keys)
         size = self.size[place].astype(np.int64)[which]
         at = self.at[place][which]
@@ -188,18 +189,46 @@ class Encoder:
         return tokens, np.concatenate([[0], last])[pieces]
 
 
+def one_by_one(encode_piece: Callable[[str], list[int]]) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """What Encoder needs, from a function of one piece."""
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokens = [encode_piece(p) for p in pieces]
+        size = np.array([len(t) for t in tokens], np.int32)
+        return np.fromiter((t for ts in tokens for t in ts), np.int32, int(size.sum())), size
+
+    return encode
+
+
 def queue_encoder(path: str = VOCABULARY) -> Encoder:
     """Pieces are merged with the priority queue of this module."""
     ranks = load_ranks(path)
-    return Encoder(lambda piece: merge_piece(piece, ranks))
+    return Encoder(one_by_one(lambda piece: merge_piece(piece.encode(), ranks)))
 
 
 def library_encoder(path: str = VOCABULARY) -> Encoder:
-    """Pieces are merged by the tiktoken library; the same tokens, sooner."""
+    """Pieces are merged by the tiktoken library; the same tokens, sooner.
+
+    The library gets all pieces in one text, with a null character between them. Where a piece has that
+    character itself, or the vocabulary lacks it, they go one by one.
+    """
     import tiktoken
 
-    one = tiktoken.Encoding("quern", pat_str=PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
-    return Encoder(lambda piece: one.encode_ordinary(piece.decode()))
+    ranks = load_ranks(path)
+    between = ranks.get(b"\0")
+    one = tiktoken.Encoding("quern", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    many = tiktoken.Encoding("quern-pieces", pat_str=r"[^\x00]+|\x00", mergeable_ranks=ranks, special_tokens={})
+    singly = one_by_one(one.encode_ordinary)
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = "\0".join(pieces)
+        if between is None or text.count("\0") != len(pieces) - 1:
+            return singly(pieces)
+        got = np.array(many.encode_ordinary(text), np.int32)
+        cuts = np.flatnonzero(got == between)
+        return np.delete(got, cuts), (np.diff(cuts, prepend=-1, append=len(got)) - 1).astype(np.int32)
+
+    return Encoder(encode)
 
 
 def encoder(kind: str, path: str) -> Encoder:
@@ -207,11 +236,11 @@ def encoder(kind: str, path: str) -> Encoder:
     return {"queue": queue_encoder, "library": library_encoder}[kind](path)
 
 
-def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "tokens", count_col: str | None = None, path: str = VOCABULARY, kind: str = "queue", keep: bool = True) -> DataFrame:
+def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "tokens", count_col: str | None = None, path: str = VOCABULARY, kind: str = "queue", keep: bool = True, binary: bool = False) -> DataFrame:
     """docs with tokens_col, the token ids of text_col (array of int), as last column.
 
     Instead of the ids, with keep false, only their number is added, as count_col (int); with both,
-    count_col comes before tokens_col. A null text gives null, an empty one no tokens. Texts of
+    count_col comes before tokens_col. With binary, tokens_col has the ids' bytes, four for each, which cost much less to write and shuffle than an array. A null text gives null, an empty one no tokens. Texts of
     any length are encoded whole. Rows are handled each on its own, so ids may repeat or be
     null, and an empty table gives an empty one. A column of docs that has the name of a new one is replaced.
     No shuffle; every worker reads the vocabulary from path, which must be there on each machine.
@@ -221,7 +250,7 @@ def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "toke
     src = docs.select(*[docs[c] for c in rest], F.col(text_col).alias(store.unused(rest, "__text")))
     schema = docs.select(*rest).schema
     for c in added:
-        schema = schema.add(c, T.ArrayType(T.IntegerType()) if keep and c == tokens_col else T.IntegerType())
+        schema = schema.add(c, (T.BinaryType() if binary else T.ArrayType(T.IntegerType())) if keep and c == tokens_col else T.IntegerType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(kind, os.path.expanduser(path))
@@ -235,7 +264,10 @@ def with_tokens(docs: DataFrame, text_col: str = "text", tokens_col: str = "toke
                 columns = batch.slice(lo, hi - lo).columns[:-1]
                 if count_col:
                     columns.append(pa.array(np.diff(first).astype(np.int32), mask=missing[lo:hi]))
-                if keep:
+                if keep and binary:
+                    here = pa.array(~missing[lo:hi])
+                    columns.append(pa.Array.from_buffers(pa.binary(), hi - lo, [here.buffers()[1], pa.py_buffer((4 * first).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(tokens, np.dtype("<i4")))]))
+                elif keep:
                     ids = K.lists(tokens, first, pa.int32())
                     if missing[lo:hi].any():
                         ids = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens), mask=gone)

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.llm import kernels as K
 from quern.llm import store
@@ -180,12 +181,15 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens
 
     A sequence has the tokens of its segments one after another: lengths[i] tokens of doc_ids[i] from starts[i] on, together
     capacity at most. Every token of every row is in one sequence. Null and empty lists have none, ids may be null or repeat, other columns
-    are ignored; an empty table gives an empty one. Tokens are shuffled once, in shards of about shard_tokens tokens (or
+    are ignored; an empty table gives an empty one. tokens_col is an array, or binary as of bpe.with_tokens: the same sequences but for
+    which documents share one, at less cost, since every token of an array is handled by itself wherever rows pass. Tokens are shuffled once, in shards of about shard_tokens tokens (or
     of one long row), by a hash of the row.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    item = docs.schema[tokens_col].dataType.elementType.simpleString()
-    rows = store.table(docs.where(F.size(tokens_col) > 0).select(F.col(id_col).alias("id"), F.size(tokens_col).cast("long").alias("n"), F.xxhash64(F.col(id_col).cast("string"), F.col(tokens_col)).alias("h"), F.col(tokens_col).alias("tokens")), "tokens")
+    binary = isinstance(docs.schema[tokens_col].dataType, T.BinaryType)
+    item = "int" if binary else docs.schema[tokens_col].dataType.elementType.simpleString()
+    n = F.floor(F.octet_length(tokens_col) / 4) if binary else F.size(tokens_col)
+    rows = store.table(docs.where(n > 0).select(F.col(id_col).alias("id"), n.cast("long").alias("n"), F.xxhash64(F.col(id_col).cast("string"), F.col(tokens_col)).alias("h"), F.col(tokens_col).alias("tokens")), "tokens")
     mix, rate, _, total = _mix(rows, capacity, width, parts)
     shards = max(1, math.ceil(total / shard_tokens))
 
@@ -193,7 +197,7 @@ def sequences(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens
         keys, parts = [], []
         for batch in batches:
             keys.append(batch.select(["shard", "id", "h", "n"]))
-            parts.append(batch["tokens"].flatten().to_numpy())
+            parts.append(np.frombuffer(K.utf8(batch["tokens"])[0], "<i4") if binary else batch["tokens"].flatten().to_numpy())
         shard = pa.Table.from_batches(keys)
         tokens = np.concatenate(parts)
         del keys, parts

@@ -220,3 +220,36 @@ def test_sequences_are_put_together_in_parts(spark, monkeypatch):
     table = packing.sequences(docs)
     assert {r["pack_id"]: tuple(r) for r in table.collect()} == whole
     assert sum(len(r[4]) for r in whole.values()) == sum(len(t or []) for _, t in rows)
+
+
+ODD = ["one two  three's 12,5\n\n x", "", None, "a\0b \0 c", "\0", "é日本 naïve", "x" * 3000, "the the the " * 2000]
+
+
+def test_library_gets_the_pieces_of_a_block_together(monkeypatch):
+    """A call for every new piece was most of what encoding cost; pieces with a null character still go one by one."""
+    import tiktoken
+
+    calls, whole = [], tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(text) or whole(self, text))
+    texts = [" ".join(f"w{i * 7919 % 10007}x" for i in range(500)), "ab 'll  cd"]
+    for some in (texts, [t for t in ODD if t], texts):
+        encode = bpe.library_encoder()
+        calls.clear()
+        buf = np.frombuffer("".join(some).encode(), np.uint8)
+        tokens, first = encode(buf, np.cumsum([0, *[len(t.encode()) for t in some]]))
+        assert some is not texts or len(calls) == 1
+        assert [tokens[a:b].tolist() for a, b in zip(first, first[1:])] == [whole(LIBRARY, t) for t in some]
+
+
+def test_sequences_of_bytes_hold_every_token(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD * 3)] + [(None, "no id")], "doc_id BIGINT, text STRING")
+    tokens = bpe.with_tokens(df, kind="library", binary=True)
+    assert dict(tokens.dtypes)["tokens"] == "binary"
+    for r in tokens.collect():
+        assert (r["tokens"] is None) if r["text"] is None else np.frombuffer(r["tokens"], "<i4").tolist() == LIBRARY.encode_ordinary(r["text"])
+    got = packing.sequences(tokens)
+    assert got.schema == packing.sequences(bpe.with_tokens(df, kind="library")).schema
+    parts = unpacked(got.collect(), packing.CAPACITY)
+    assert {i: [t for _, p in sorted(q) for t in p] for i, q in parts.items()} == {r["doc_id"]: LIBRARY.encode_ordinary(r["text"]) for r in df.collect() if r["text"]}
+    assert packing.sequences(tokens.limit(0)).count() == 0
+    assert packing.sequences(tokens, shard_tokens=500).agg(F.sum(F.size("tokens"))).first()[0] == sum(len(LIBRARY.encode_ordinary(r["text"])) for r in df.collect() if r["text"])
