@@ -39,7 +39,7 @@ def toxicity(c: Column) -> Column:
 
 def _mean_sentence(c: Column, sentences: Column) -> Column:
     """Mean words of the sentences that aren't blank; null without any."""
-    return F.when(sentences > 0, F.regexp_count(c, F.lit(rf"[^{T.SPACE}{_STOP}]+")) / sentences)
+    return F.when(sentences > 0, F.regexp_count(c, F.lit(rf"[[{T.BLACK}]&&[^{_STOP}]]++")) / sentences)
 
 
 def _score(c: Column, n: Column, mean: Column) -> Column:

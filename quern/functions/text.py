@@ -16,6 +16,9 @@ WORD = r"[\p{L}\p{N}_]+"
 #: What Python's str.split() takes for white space, beyond \s of Java.
 SPACE = r"\s\u001c-\u001f\u0085   -     　"
 
+#: Inside a character class: what isn't white space. Frequent characters are told by two ranges, and a blank by \S, before the long list is asked.
+BLACK = rf"!-~¡-ᙿ[\S&&[^{SPACE[2:]}]]"
+
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 
@@ -81,7 +84,7 @@ def cased_words(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     """Words between white space."""
-    return F.regexp_count(c, F.lit(rf"[^{SPACE}]+"))
+    return F.regexp_count(c, F.lit(rf"[{BLACK}]++"))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -101,13 +104,6 @@ def gram_hashes(w: Column, n: int) -> Column:
     return let(F.transform(w, lambda x: F.xxhash64(x)), grams)
 
 
-def gram_keys(w: Column, n: int) -> Column:
-    """All n-grams of an array of words as structs of two hashes, h of 64 bits and g of 32."""
-    one = lambda h, i: F.struct(F.xxhash64(F.slice(h, i, n)).alias("h"), F.hash(F.slice(h, i, n)).alias("g"))
-    grams = lambda h: F.when(F.size(h) >= n, F.transform(F.sequence(F.lit(1), F.size(h) - n + 1), lambda i: one(h, i))).otherwise(F.array().cast("array<struct<h:bigint,g:int>>"))
-    return let(F.transform(w, lambda x: F.xxhash64(x)), grams)
-
-
 def ngram_set(w: Column, n: int) -> Column:
     return F.array_distinct(ngrams(w, n))
 

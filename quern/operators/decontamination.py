@@ -1,9 +1,9 @@
 """Benchmark decontamination: an n-gram index, and what of a corpus overlaps with it.
 
-Words are hashed once and n-grams from the hashes of their words, 96 bits in all, so no gram of
-the corpus is ever built as a string; the index keeps its own. Where the planner broadcasts the index, by
-its size, nothing of the corpus is shuffled. What a row is found to have is kept under a hash of its id
-and text, so null ids and repeated ones don't mix rows up.
+Words are hashed once and n-grams rolled from the hashes of their words, 96 bits in all, so no gram of
+the corpus is ever built as a string; the index keeps its own. An index of up to lookup.SENT grams goes to every
+worker, and nothing of the corpus is shuffled; a larger one is joined. There, what a row is found to have is kept
+under a hash of its id and text, so null ids and repeated ones don't mix rows up.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quern.functions import text as T
+from quern.operators import lookup as L
 from quern.sources.writers import stored
 
 N = 13
@@ -34,14 +35,16 @@ def added_by_benchmark(index: DataFrame) -> DataFrame:
 
 
 def _known(index: DataFrame, n: int) -> DataFrame:
-    """h, g (hashes as in text.gram_keys) and gram of an index: a gram has its words between blanks."""
-    return index.select("gram", F.inline(T.gram_keys(F.split("gram", " "), n)))
+    """h, g (hashes as in lookup.keys) and gram of an index: a gram has its words between blanks."""
+    return index.select("gram", F.inline(L.keys(F.split("gram", " "), n)))
 
 
-def _hits(df: DataFrame, index: DataFrame, keys: list[Column], text: Column, n: int) -> DataFrame:
+def _hits(df: DataFrame, index: DataFrame, keys: list[Column], text: Column, n: int, sent: int = L.SENT) -> DataFrame:
     """keys and gram of each place where a row has a gram of the index; repeats stay."""
-    rows = df.select(*keys, F.inline(T.gram_keys(T.words(text), n)))
-    return rows.join(_known(index.select("gram").distinct(), n), ["h", "g"]).drop("h", "g")
+    known = stored(_known(index.select("gram").distinct(), n), "index")
+    grams = L.Grams(known, sent)
+    own = grams.all(T.words(text), n) if grams.fits else L.keys(T.words(text), n)
+    return df.select(*keys, F.inline(own)).join(known, ["h", "g"]).drop("h", "g")
 
 
 def overlaps(df: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N) -> DataFrame:
@@ -59,14 +62,17 @@ def overlap_listing(df: DataFrame, index: DataFrame, id_col: str, text: Column,
     return overlaps(df, index, id_col, text, n).groupBy(id_col).agg(F.count(F.lit(1)).alias("n_overlaps"), F.array_join(F.array_sort(F.collect_list("gram")), "|").alias("grams"))
 
 
-def with_hits(df: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N, among: Column | None = None, hit: str = "hit") -> DataFrame:
+def with_hits(df: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = N, among: Column | None = None, hit: str = "hit", sent: int = L.SENT) -> DataFrame:
     """df with hit: whether the row's own text has a gram of the index; only rows of among are searched.
 
-    Found keys are written to the shared folder first, so the planner knows their size, and df isn't shuffled where
-    they are few. Null ids, repeated ids and repeated rows keep each their own verdict; a null text has no grams.
+    An index of up to sent grams is looked up row by row. For a larger one, found keys are written to the shared folder first, so the
+    planner knows their size. Null ids, repeated ids and repeated rows keep each their own verdict; a null text has no grams.
     """
+    grams = L.Grams(stored(_known(index.select("gram").distinct(), n).select("h", "g"), "index"), sent)
+    if grams.fits:
+        return df.withColumn(hit, grams.any(T.words(text if among is None else F.when(among, text)), n))
     key = F.xxhash64(F.col(id_col), text)
-    found = _hits(df if among is None else df.where(among), index, [key.alias("__key")], text, n).select("__key").distinct()
+    found = _hits(df if among is None else df.where(among), index, [key.alias("__key")], text, n, sent).select("__key").distinct()
     found = stored(found, "hits").withColumn("__found", F.lit(True))
     return df.withColumn("__key", key).join(found, "__key", "left").withColumn(hit, F.col("__found").isNotNull()).drop("__key", "__found")
 
@@ -94,9 +100,8 @@ def scan_corpus(df: DataFrame, queries: DataFrame, id_col: str, text: Column, qu
     Rows that repeat an id are one document, whose context is of the least of their texts that has first_gram's
     first word; null ids come first. Queries of fewer than n words find nothing.
     """
-    asked = queries.select(F.col(query_id), F.explode(T.ngram_set(T.words(query_text), n)).alias("gram")).select(query_id, "gram", F.inline(T.gram_keys(F.split("gram", " "), n)))
-    rows = df.select(F.col(id_col), F.inline(T.gram_keys(T.words(text), n)))
-    hit = rows.join(asked, ["h", "g"]).select(query_id, id_col, "gram").distinct().groupBy(query_id, id_col).agg(F.count(F.lit(1)).alias("n_overlaps"), F.min("gram").alias("first_gram"))
+    asked = queries.select(F.col(query_id), F.explode(T.ngram_set(T.words(query_text), n)).alias("gram")).select(query_id, "gram")
+    hit = _hits(df, asked, [F.col(id_col)], text, n).join(asked, "gram").select(query_id, id_col, "gram").distinct().groupBy(query_id, id_col).agg(F.count(F.lit(1)).alias("n_overlaps"), F.min("gram").alias("first_gram"))
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy(id_col))
     top = stored(hit.withColumn("__rank", rank).where(F.col("__rank") <= most).drop("__rank"), "scan")
     texts = df.select(F.col(id_col).alias("__id"), text.alias("__text"))
@@ -104,6 +109,11 @@ def scan_corpus(df: DataFrame, queries: DataFrame, id_col: str, text: Column, qu
     return found.groupBy(query_id, id_col, "n_overlaps", "first_gram").agg(F.min_by("context", F.struct(~F.contains(F.lower("__text"), F.col("first_gram")), F.col("__text"))).alias("context"))
 
 
+def grams_among(df: DataFrame, text: Column, wanted: DataFrame, n: int = N) -> DataFrame:
+    """The n-grams of df that are among wanted (column gram), with repeats: what task_overlap needs of a corpus."""
+    return _hits(df, wanted, [], text, n)
+
+
 def task_overlap(tasks: DataFrame, train_grams: DataFrame, task_col: str, id_col: str, text: Column, n: int = N) -> DataFrame:
     """The inverse: documents of tasks any of whose grams occurs in the training grams (column gram, repeats allowed). A null id is in no list."""
     rows = tasks.select(task_col, id_col, F.explode(T.ngram_set(T.words(text), n)).alias("gram"))

@@ -330,7 +330,7 @@ def dec9(s, d):
 @register("dec10_task_overlap", f"{_WORDS}, q AS (SELECT item_id, 'task' || item_id % 3 AS task, unnest(list_distinct({_grams(13)})) AS gram FROM b) SELECT task, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS doc_ids FROM q WHERE gram IN (SELECT unnest({_grams(13)}) FROM w) GROUP BY task")
 def dec10(s, d):
     tasks = table(s, d, "benchmark").withColumn("task", F.concat(F.lit("task"), (F.col("item_id") % 3).cast("string")))
-    train = docs(s, d).select(F.explode(T.ngrams(T.words(text()), 13)).alias("gram"))
+    train = D.grams_among(docs(s, d), text(), D.grams_of(tasks, "item_id", text()))
     return D.task_overlap(tasks, train, "task", "item_id", text()).withColumn("doc_ids", F.array_join(F.transform("doc_ids", lambda x: x.cast("string")), ","))
 
 

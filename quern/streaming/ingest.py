@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quern.functions import text as T
 from quern.operators import decontamination as D
 from quern.operators.ordered import dense_ids, word_budget
+from quern.sources.writers import stored
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING"
 _STATE = "batch BIGINT, next_id BIGINT, words BIGINT"
@@ -43,7 +44,8 @@ def take_batch(batch: DataFrame, batch_id: int, index: DataFrame, out: str, targ
     rows = D.with_status(batch.withColumn("text", T.normalize(F.col("text"))), index, "doc_id", F.col("text")).where("status = 'clean'")
     rows = rows.select("doc_id", "lang", "text", T.word_count(F.col("text")).cast("long").alias("words"))
     if words < target_words:
-        kept = dense_ids(word_budget(rows, "doc_id", F.col("words"), target_words - words), "doc_id", "n")
+        rows = stored(rows, "batch")  # it is read several times below
+        kept = dense_ids(stored(word_budget(rows, "doc_id", F.col("words"), target_words - words), "budget"), "doc_id", "n")
         kept.select((F.col("n") + next_id).alias("dense_id"), "doc_id", "lang", "text", "words", (F.col("words_before") + words).alias("words_before")).write.mode("overwrite").parquet(path)
         n, more = spark.read.parquet(path).agg(F.count(F.lit(1)), F.coalesce(F.sum("words"), F.lit(0))).first()
         next_id, words = next_id + n, words + more

@@ -1,5 +1,7 @@
 """Null, repeated and odd rows, which the driver's tables don't have."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +12,12 @@ from quern.functions import text as T
 from quern.operators import corpus as C
 from quern.operators import decontamination as D
 from quern.operators import educational as U
+from quern.operators import lookup as L
 from quern.operators import packing as P
 from quern.operators import student as M
 from quern.sources import readers as R
 from quern.sources import writers as S
+from quern.streaming import ingest as I
 
 LONG = " ".join(f"t{i}" for i in range(60))
 OTHER = " ".join(f"u{i}" for i in range(70))
@@ -152,3 +156,71 @@ def test_mixtures(spark):
     df = spark.createDataFrame([(i, c, lang) for lang, n in (("en", 4), ("fr", 2)) for i in range(n) for c in range(2)], "doc_id BIGINT, chunk INT, lang STRING")
     got = P.mixture(df, "doc_id", "lang", {"fr": 3, "en": 5, "xx": 2}).collect()
     assert sorted((r["part"], r["lang"], r["doc_id"], r["chunk"]) for r in got) == [(0, "fr", 0, 0), (0, "fr", 0, 1), (0, "fr", 1, 0), (1, "en", 0, 0), (1, "en", 0, 1), (1, "en", 1, 0), (1, "en", 1, 1), (1, "en", 2, 0)]
+
+
+def _grams(texts, n):
+    words = [t.split() for t in texts]
+    return [{tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for w in words]
+
+
+@pytest.mark.parametrize("n", [5, 13])
+def test_rolled_keys_are_the_grams(spark, monkeypatch, n):
+    monkeypatch.setattr(L, "_SLICE", 40)
+    rng = np.random.default_rng(0)
+    texts = [" ".join(rng.choice(["a", "b", "c"], size)) for size in (0, 1, 4, 5, 12, 13, 14, 60, 200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING").coalesce(1).select("i", L.keys(T.words(F.col("t")), n).alias("k")).collect()
+    of = {}
+    for r in rows:
+        w = texts[r["i"]].split()
+        assert len(r["k"]) == max(0, len(w) - n + 1)
+        for i, k in enumerate(r["k"]):
+            assert of.setdefault((k["h"], k["g"]), tuple(w[i : i + n])) == tuple(w[i : i + n])
+    assert len(of) == len(set().union(*_grams(texts, n)))
+
+
+def test_a_small_index_is_looked_up_without_a_join(spark, index):
+    df = spark.createDataFrame([(1, LONG), (2, OTHER), (2, "x " + LONG), (None, LONG + " y"), (3, None), (4, "few")], "doc_id BIGINT, text STRING")
+    ways = [D.with_hits(df, index, "doc_id", F.col("text"), sent=n) for n in (1000, 0)]
+    both = [sorted((str(r["doc_id"]), str(r["text"]), r["hit"]) for r in x.collect()) for x in ways]
+    assert both[0] == both[1] and [x[2] for x in both[0]] == [True, False, True, False, False, True]
+    plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in ways]
+    assert "Join" not in plans[0] and "Join" in plans[1]
+
+
+def test_no_gram_of_the_corpus_is_shuffled_for_tasks(spark):
+    tasks = spark.createDataFrame([(1, "a", LONG), (2, "a", OTHER), (3, "b", "few words")], "i BIGINT, task STRING, text STRING")
+    corpus = spark.createDataFrame([("x " + LONG,), (None,), ("few words",)], "text STRING")
+    among = D.grams_among(corpus, F.col("text"), D.grams_of(tasks, "i", F.col("text")))
+    assert among.count() == 48
+    assert [(r["task"], r["doc_ids"]) for r in D.task_overlap(tasks, among, "task", "i", F.col("text")).collect()] == [("a", [1])]
+    assert D.grams_among(corpus.where("text NOT LIKE 'x%'"), F.col("text"), D.grams_of(tasks, "i", F.col("text"))).count() == 0
+
+
+def test_words_are_counted_at_the_pace_of_a_plain_pattern(spark):
+    every = spark.createDataFrame([(f"a{chr(i)}b",) for i in range(0x3100) if not 0xD800 <= i <= 0xDFFF], "t STRING")
+    assert every.where(T.word_count(F.col("t")) != F.regexp_count("t", F.lit(rf"[^{T.SPACE}]+"))).count() == 0
+    assert every.where(F.regexp_count("t", F.lit(rf"[[{T.BLACK}]&&[^.!?]]++")) != F.regexp_count("t", F.lit(rf"[^{T.SPACE}.!?]+"))).count() == 0
+    text = spark.range(4).select(F.repeat(F.lit("Some words follow each other here. "), 40_000).alias("t")).coalesce(1).cache()
+
+    def took(c):
+        best = 1e9
+        for _ in range(4):
+            began = time.perf_counter()
+            text.agg(F.sum(c)).collect()
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    assert took(T.word_count(F.col("t"))) < 4 * took(F.regexp_count("t", F.lit(r"\S+")))
+
+
+def test_a_batch_of_the_stream_is_judged_once(spark, index, tmp_path, monkeypatch):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(s):
+        calls.add(len(s))
+        return s
+
+    monkeypatch.setattr(T, "_nfkc", counted)
+    rows = spark.createDataFrame([(i, f"é{i} " + OTHER + " " + OTHER, "en") for i in range(8)], "doc_id BIGINT, text STRING, lang STRING")
+    I.take_batch(rows, 0, index, f"file://{tmp_path}/s", 10_000)
+    assert spark.read.parquet(f"file://{tmp_path}/s/clean").count() == 8 and calls.value <= 24
