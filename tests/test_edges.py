@@ -224,3 +224,27 @@ def test_a_batch_of_the_stream_is_judged_once(spark, index, tmp_path, monkeypatc
     rows = spark.createDataFrame([(i, f"é{i} " + OTHER + " " + OTHER, "en") for i in range(8)], "doc_id BIGINT, text STRING, lang STRING")
     I.take_batch(rows, 0, index, f"file://{tmp_path}/s", 10_000)
     assert spark.read.parquet(f"file://{tmp_path}/s/clean").count() == 8 and calls.value <= 24
+
+
+def test_rare_words_are_joined_and_the_vocabulary_never_collected(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    def refuse(self):
+        raise AssertionError("rows of a vocabulary go to the driver")
+
+    monkeypatch.setattr(Classic, "toPandas", refuse)
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(40)], size)) for size in (1, 3, 30, 200)]
+    rows = [(i % 3, t) for i, t in enumerate(texts)] + [(0, texts[2]), (0, texts[2]), (None, texts[3]), (9, None), (8, "...")]
+    df = spark.createDataFrame(rows, "i BIGINT, text STRING")
+    words = P.word_vocabulary(df, F.col("text"))
+    number = {r["word"]: r["id"] for r in words.collect()}
+    want = sorted((str(i), [number[x] for x in t.split()]) for i, t in rows if t and t != "...")
+    for sent in (1000, 40, 7, 0):
+        assert sorted((str(r["i"]), r["ids"]) for r in P.encode_words(df, "i", F.col("text"), words, sent=sent).collect()) == want
+    some = words.where("id % 3 <> 1")
+    want = sorted((str(i), k) for i, t in rows if t and (k := [number[x] for x in t.split() if x in number and number[x] % 3 != 1]))
+    for sent in (1000, 7):
+        assert sorted((str(r["i"]), r["ids"]) for r in P.encode_words(df, "i", F.col("text"), some, sent=sent).collect()) == want
+    monkeypatch.setattr(P, "_sorted", lambda known: None)
+    assert sorted((str(r["i"]), r["ids"]) for r in P.encode_words(df, "i", F.col("text"), some).collect()) == want
