@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quern.functions import text as T
+from quern.operators import lookup as L
+from quern.sources.writers import stored
 
 
 def first_of_each(df: DataFrame, key: Column, order: str) -> DataFrame:
@@ -74,17 +78,75 @@ def gram_counts(df: DataFrame, text: Column, n: int = 5) -> DataFrame:
 
 
 def top_grams(counts: DataFrame, most: int = 500_000) -> DataFrame:
-    return counts.orderBy(F.col("n").desc(), "gram").limit(most)
+    """The most frequent grams, exactly most if there are, ties by gram.
+
+    How many grams have each count says which counts are out, and of those that are left only as many as needed are
+    taken, part by part of a parallel sort: no task reads the first rows of all others. The grams are shuffled once: both uses read the same exchange.
+    """
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("__grams"))
+    over = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)  # a row for each count that occurs
+    least = sizes.withColumn("__more", F.coalesce(F.sum("__grams").over(over), F.lit(0))).where(F.col("__more") < most).agg(F.min("n").alias("__least"))
+    rows = counts.crossJoin(F.broadcast(least)).where("n >= __least").drop("__least")
+    order = [F.col("n").desc(), F.col("gram")]
+    return first_sorted(rows, order, most).orderBy(*order)
+
+
+def first_sorted(df: DataFrame, order: list, most: int) -> DataFrame:
+    """The first rows by order, which has no ties: sorted in parallel and written, then so many of each part as the parts before leave."""
+    rows = stored(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("__at", 33)
+    left, ends = most, []
+    for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():  # a row for each part
+        ends += [F.lit(r["part"]), F.lit(min(left, r["n"]))]
+        left -= min(left, r["n"])
+    end = F.create_map(*ends)[part] if ends else F.lit(0)
+    return rows.where(F.col("__at").bitwiseAND((1 << 33) - 1) < end).drop("__at")
+
+
+#: An n-gram's place: its hash and the document that has it.
+_PLACE = np.dtype([("h", "<i8"), ("row", "<i8")])
 
 
-def memorization(df: DataFrame, id_col: str, text: Column, counts: DataFrame, n: int = 5, least: int = 3) -> DataFrame:
+def memorization(df: DataFrame, id_col: str, text: Column, n: int = 5, least: int = 3, parts: int | None = None) -> DataFrame:
     """For each document its n-grams, those that the corpus has least times or more, and their share (0 without n-grams).
 
     Rows that repeat an id count as one document, in a row for each of them; a null id has 0. Null texts have no n-grams.
+    N-grams are told apart by 64-bit hashes; each is shuffled once, as 16 bytes that are packed by range of the hash, with the document it is in.
     """
-    own = df.select(id_col, F.explode(T.ngrams(T.words(text), n)).alias("gram")).groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("k"))
-    known = counts.where(F.col("n") >= least).select("gram", F.lit(True).alias("often"))
-    per = own.join(known, "gram", "left").groupBy(id_col).agg(F.sum("k").alias("grams"), F.sum(F.when(F.col("often"), F.col("k")).otherwise(0)).alias("repeated"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 4 * tasks  # several in a task, one after another
+    place = _PLACE
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(0).to_numpy()
+            for row, counts, h, _ in L.rolled(b.column(1), n, check=False):
+                found = np.zeros(len(h), place)
+                found["h"], found["row"] = h, np.repeat(own[row : row + len(counts)], counts)
+                to = (h.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                order = np.argsort(to, kind="stable")
+                found, to = found[order], to[order]
+                at = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else np.zeros(0, int)
+                yield pa.RecordBatch.from_arrays([pa.array(to[at].astype(np.int32)), pa.array([x.tobytes() for x in np.split(found, at[1:])] if len(to) else [], pa.binary())], ["part", "places"])
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by: dict[int, list] = {}
+        for b in batches:
+            for k, x in zip(b.column(0).to_pylist(), b.column(1)):
+                by.setdefault(k, []).append(np.frombuffer(x.as_buffer(), place))
+        while by:
+            found = np.concatenate(by.popitem()[1])
+            _, which, times = np.unique(found["h"], return_inverse=True, return_counts=True)
+            own, hits = np.unique(found["row"][times[which] >= least], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(hits.astype(np.int64))], ["row", "k"])
+
+    rows = df.select(F.xxhash64(id_col).alias("row"), L.word_hashes(T.words(text)).alias("w"))
+    places = rows.mapInArrow(packed, "part INT, places BINARY").repartition(tasks, "part")
+    hits = places.mapInArrow(repeated, "row BIGINT, k BIGINT").groupBy("row").agg(F.sum("k").alias("repeated"))
+    sizes = F.greatest(F.size(T.words(text)) - (n - 1), F.lit(0)).cast("long")
+    grams = df.select(id_col, sizes.alias("grams"))
+    per = grams.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.sum("grams").alias("grams"))
+    per = per.join(hits.withColumnRenamed("row", "__row"), F.xxhash64(id_col) == F.col("__row"), "left").drop("__row")
     return df.select(id_col).join(per, id_col, "left").select(id_col, F.coalesce("grams", F.lit(0)).alias("grams"), F.coalesce("repeated", F.lit(0)).alias("repeated")).withColumn("score", F.when(F.col("grams") > 0, F.col("repeated") / F.col("grams")).otherwise(0.0))
 
 

@@ -177,7 +177,7 @@ def edu9(s, d):
 
 @register("edu10_memorization", f"{_GC}, per AS (SELECT doc_id, count(*) AS grams, sum((n >= 3)::INT)::BIGINT AS repeated FROM all5 JOIN gc USING (gram) GROUP BY doc_id) SELECT doc_id, coalesce(grams, 0) AS grams, coalesce(repeated, 0) AS repeated, CASE WHEN grams > 0 THEN repeated / grams ELSE 0.0 END::DOUBLE AS score FROM documents LEFT JOIN per USING (doc_id)")
 def edu10(s, d):
-    return C.memorization(docs(s, d), "doc_id", text(), C.gram_counts(docs(s, d), text()))
+    return C.memorization(docs(s, d), "doc_id", text())
 
 
 @register("edu11_tier", f"{_PLAIN} SELECT doc_id, tier FROM e5")

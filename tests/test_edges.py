@@ -248,3 +248,28 @@ def test_rare_words_are_joined_and_the_vocabulary_never_collected(spark, monkeyp
         assert sorted((str(r["i"]), r["ids"]) for r in P.encode_words(df, "i", F.col("text"), some, sent=sent).collect()) == want
     monkeypatch.setattr(P, "_sorted", lambda known: None)
     assert sorted((str(r["i"]), r["ids"]) for r in P.encode_words(df, "i", F.col("text"), some).collect()) == want
+
+
+@pytest.mark.parametrize("most", [1, 3, 4, 7, 11, 50])
+def test_top_grams_without_a_task_that_reads_all(spark, most):
+    rows = [(f"g{i}", 1 + (i * 7) % 4) for i in range(12)]
+    df = spark.createDataFrame([(g,) for g, n in rows for _ in range(n)], "gram STRING").repartition(5)
+    top = C.top_grams(df.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), most)
+    assert [(r["gram"], r["n"]) for r in top.collect()] == sorted(rows, key=lambda r: (-r[1], r[0]))[:most]
+    assert "Limit" not in top._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_memorization_shuffles_packed_places(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["a", "b", "c"], size)) for size in (0, 4, 5, 9, 30, 30, 60)]
+    rows = list(enumerate(texts)) + [(3, texts[5]), (None, texts[6]), (20, None)]
+    got = C.memorization(spark.createDataFrame(rows, "i BIGINT, t STRING").repartition(3), "i", F.col("t"), parts=7)
+    grams = [(i, tuple(w[k : k + 5])) for i, t in rows for w in [(t or "").split()] for k in range(len(w) - 4)]
+    times = {}
+    for _, g in grams:
+        times[g] = times.get(g, 0) + 1
+    own = lambda i, least: sum(j == i and times[g] >= least for j, g in grams)
+    per = lambda i: (0, 0) if i is None else (own(i, 0), own(i, 3))
+    want = sorted((str(i), *per(i)) for i, _ in rows)
+    assert sorted((str(r["i"]), r["grams"], r["repeated"]) for r in got.collect()) == want
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
