@@ -37,9 +37,14 @@ def toxicity(c: Column) -> Column:
     return F.least(toxic_hits(c) / 3, F.lit(1.0))
 
 
-def _mean_sentence(c: Column, sentences: Column) -> Column:
+def _words_between(c: Column) -> Column:
+    """Words between white space and sentence marks."""
+    return F.regexp_count(c, F.lit(rf"[[{T.BLACK}]&&[^{_STOP}]]++"))
+
+
+def _mean_sentence(words: Column, sentences: Column) -> Column:
     """Mean words of the sentences that aren't blank; null without any."""
-    return F.when(sentences > 0, F.regexp_count(c, F.lit(rf"[[{T.BLACK}]&&[^{_STOP}]]++")) / sentences)
+    return F.when(sentences > 0, words / sentences)
 
 
 def _score(c: Column, n: Column, mean: Column) -> Column:
@@ -57,7 +62,8 @@ def _score(c: Column, n: Column, mean: Column) -> Column:
 
 def educational_score(c: Column) -> Column:
     """0 to 5: keyword density, sentence length, headings, lists, figures."""
-    return _score(c, T.word_count(c), _mean_sentence(c, H.sentences(c, _STOP)))
+    counts = F.struct(T.word_count(c).alias("n"), _words_between(c).alias("k"), H.sentences(c, _STOP).alias("s"))
+    return T.let(counts, lambda x: _score(c, x["n"], _mean_sentence(x["k"], x["s"])))
 
 
 def _usable(w: Column, n: Column) -> Column:
@@ -105,9 +111,9 @@ def measured(df: DataFrame, c: Column, trusted: Column | None = None) -> DataFra
     c = F.coalesce(c, F.lit(""))
     rest = [x for x in df.columns if x not in MEASURES]
     rows = df.select(*rest, (F.lit(False) if trusted is None else trusted).alias("__trusted"), c.alias("__c"))
-    rows = rows.select("*", T.cased_words(F.col("__c")).alias("__cw"), H.sentences(F.col("__c"), _STOP).alias("__n"), T.word_count(F.col("__c")).alias("__words"), toxic_hits(F.col("__c")).alias("toxic_hits"))
+    rows = rows.select("*", T.cased_words(F.col("__c")).alias("__cw"), H.sentences(F.col("__c"), _STOP).alias("__n"), T.word_count(F.col("__c")).alias("__words"), _words_between(F.col("__c")).alias("__between"), toxic_hits(F.col("__c")).alias("toxic_hits"))
     w, n, c = F.col("__cw"), F.col("__n"), F.col("__c")
-    rows = rows.select(*rest, "toxic_hits", boosted(_score(c, F.col("__words"), _mean_sentence(c, n)), F.col("__trusted")).alias("edu_score"), _grade(w, n).alias("grade"), _word_length(w, n).alias("__length"))
+    rows = rows.select(*rest, "toxic_hits", boosted(_score(c, F.col("__words"), _mean_sentence(F.col("__between"), n)), F.col("__trusted")).alias("edu_score"), _grade(w, n).alias("grade"), _word_length(w, n).alias("__length"))
     rows = rows.withColumn("learner_level", _level(F.col("grade"), F.col("__length"))).drop("__length")
     return rows.withColumn("audience", audience(F.col("learner_level"))).withColumn("tier", tier(F.col("learner_level"), F.col("toxic_hits") == 0, F.col("edu_score")))
 

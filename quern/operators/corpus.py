@@ -197,8 +197,12 @@ def distribution(df: DataFrame, column: str, low: int, high: int) -> DataFrame:
 
 def rule_annotation(c: Column) -> Column:
     """An annotation by rules, where no model is at hand: the same for the same text."""
-    n, w = F.length(c), T.word_count(c)
-    has = lambda word: F.contains(F.lower(c), F.lit(word))
+    return T.let(F.struct(F.length(c).alias("n"), T.word_count(c).alias("w"), F.lower(c).alias("low")), _rules)
+
+
+def _rules(x: Column) -> Column:
+    n, w = x["n"], x["w"]
+    has = lambda word: F.contains(x["low"], F.lit(word))
     return F.struct(
         F.struct((n <= 5 * w).alias("elementary"), ((n > 5 * w) & (n <= 7 * w)).alias("middle"), (n > 8 * w).alias("high")).alias("readability"),
         F.struct((w < 300).alias("easy"), (w < 600).alias("independent"), (w < 100).alias("low_difficulty")).alias("comprehension"),
